@@ -328,6 +328,6 @@ def oracle_statements() -> dict[str, str]:
 
 
 _LOADS = """
-    SELECT CASE page WHEN 'NextSong' THEN 0 ELSE 1 END AS load_batch, count(*) AS n_rows,
+    SELECT CAST(page <> 'NextSong' AS BIGINT) AS load_batch, count(*) AS n_rows,
            count("userId") AS n_known_users, min(ts) AS first_ts, max(ts) AS last_ts
     FROM song_log GROUP BY 1"""

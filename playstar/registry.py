@@ -20,7 +20,7 @@ from playstar.schemas import LOG_MAPPING, SONG_MAPPING, natural_columns
 from playstar.session import apply_settings, new_folder, store
 from playstar.sources import testbed
 from playstar.sources.csv_files import read_csv, write_csv
-from playstar.sources.json_files import load_json, match_by_name, parse_json
+from playstar.sources.json_files import load_json, match_by_name
 from playstar.sources.ledger import committed_files
 from playstar.sources.listing import keys_with_prefix, list_files
 from playstar.sources.manifest import read_manifest, write_manifest
@@ -350,8 +350,10 @@ def insert_append(spark, sf_dir):
 
 @query
 def table_lifecycle(spark, sf_dir):
-    """Table sizes after reset, refresh and truncate."""
+    """Table sizes after reset, refresh from JSON files, and truncate."""
     folder = new_folder(spark, "lifecycle")
+    _log_as_json(testbed.song_log(spark, sf_dir), f"{folder}/log-data")
+    testbed.song_data(spark, sf_dir).write.json(f"{folder}/song-data")
 
     def noted(step: str) -> DataFrame:
         sizes = lifecycle.counts(spark, db).withColumn("step", F.lit(step))
@@ -360,7 +362,7 @@ def table_lifecycle(spark, sf_dir):
     with _own_database(spark) as db:
         lifecycle.reset(spark, db)
         after_reset = noted("reset")
-        lifecycle.refresh(spark, db, testbed.song_log(spark, sf_dir), testbed.song_data(spark, sf_dir))
+        lifecycle.refresh_from_files(spark, db, f"{folder}/log-data", f"{folder}/song-data")
         after_refresh = noted("refresh")
         lifecycle.truncate_tables(spark, db)
         after_truncate = noted("truncate")

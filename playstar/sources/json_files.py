@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.readwriter import DataFrameReader
 from pyspark.sql.streaming.readwriter import DataStreamReader
@@ -96,3 +96,25 @@ def load_json(
 ) -> Loaded:
     """Stage JSON files as Parquet in the folder ``target``; the default tolerates no bad record."""
     return accept(store(parse_json(spark.read, paths, mapping), target), mapping.table, max_errors)
+
+
+class ErrorBudget:
+    """The same limit for records that go straight into a table.
+
+    Bad records are dropped and counted by the write itself, so nothing is
+    stored twice; ``check`` tells afterwards whether the table may be used.
+    """
+
+    def __init__(self, table: str, max_errors: int = 1):
+        self.table = table
+        self.max_errors = max_errors
+        self._seen = Observation()
+
+    def watch(self, parsed: DataFrame) -> DataFrame:
+        watched = parsed.observe(self._seen, F.count_if(F.col(REJECTED)).alias("bad"))
+        return watched.where(~F.col(REJECTED)).drop(REJECTED, CORRUPT)
+
+    def check(self) -> None:
+        n_bad = self._seen.get["bad"]
+        if n_bad >= self.max_errors:
+            raise TooManyErrors(f"{n_bad} bad records in {self.table}, limit is {self.max_errors}")

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playstar.functions.moments import millis_of
+from playstar.session import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,7 +23,7 @@ def song_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Parts are numbered from 0; the count comes from the Parquet footers.
     picked = F.col("event_id") % F.lit(part.count())
     joined = (
-        table(spark, sf_dir, "events")
+        spread(table(spark, sf_dir, "events"))
         .join(part, F.col("p_partkey") == picked)
         .join(table(spark, sf_dir, "nation"), F.col("n_nationkey") == F.col("user_id") % 25)
     )
@@ -90,7 +91,7 @@ def load_ledger(spark: SparkSession, sf_dir: str, bucket: str) -> DataFrame:
     kind = F.col("event_type")
     log_name = F.concat(F.lit(f"s3://{bucket}/"), _log_key())
     logs = (
-        table(spark, sf_dir, "events")
+        spread(table(spark, sf_dir, "events"))
         .where(kind.isin("click", "purchase"))
         .select(
             F.date_format("ts", "yyyyMMdd").cast("bigint").alias("query"),
@@ -98,7 +99,7 @@ def load_ledger(spark: SparkSession, sf_dir: str, bucket: str) -> DataFrame:
             F.col("ts").alias("curtime"),
         )
     )
-    songs = table(spark, sf_dir, "lineitem").select(
+    songs = spread(table(spark, sf_dir, "lineitem")).select(
         F.col("l_suppkey").alias("query"),
         F.concat(F.lit(f"s3://{bucket}/song-data/"), F.col("l_partkey").cast("string"), F.lit(".json")).alias("filename"),
         F.col("l_shipdate").alias("curtime"),
