@@ -241,13 +241,13 @@ def oracle_statements() -> dict[str, str]:
             FROM part""",
         "csv_roundtrip_dim_date": "SELECT * FROM busy_days",
         "csv_roundtrip_dim_time": "SELECT * FROM busy_seconds",
-        "calendar_dates": "SELECT * FROM busy_days",
-        "calendar_times": "SELECT * FROM busy_seconds",
-        "list_files_by_prefix": "SELECT DISTINCT 'log-data/day=' || strftime(ts, '%Y-%m-%d') AS folder FROM events",
+        "dim_date": "SELECT * FROM busy_days",
+        "dim_time": "SELECT * FROM busy_seconds",
+        "list_files": "SELECT DISTINCT 'log-data/day=' || strftime(ts, '%Y-%m-%d') AS folder FROM events",
         "list_keys_prefix": "SELECT url FROM pages WHERE starts_with(url, 'https://')",
         "list_keys_head": f"SELECT url FROM pages WHERE starts_with(url, 'https://') ORDER BY url LIMIT {HEAD}",
-        "committed_file_names": "SELECT filename FROM committed",
-        "new_file_names": f"""
+        "committed_files": "SELECT filename FROM committed",
+        "new_files": f"""
             SELECT 's3://{BUCKET}/' || key AS filename FROM log_files WHERE starts_with(key, '{LOG_PREFIX}')
             EXCEPT SELECT filename FROM committed""",
         "manifest_roundtrip": "SELECT DISTINCT url, TRUE AS mandatory FROM pages",

@@ -33,7 +33,7 @@ def conform(df: DataFrame, table: str) -> DataFrame:
 
 def stage(rows: DataFrame, table: str) -> DataFrame:
     """Loaded records with the identity column of their staging table."""
-    return conform(arrival_keys(rows, PRIMARY_KEYS[table]), table)
+    return conform(arrival_keys(rows.select(natural_columns(table)), PRIMARY_KEYS[table]), table)
 
 
 # Dimensions ---------------------------------------------------------------

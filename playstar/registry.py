@@ -37,12 +37,13 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(build: Query) -> Query:
-    """Register a query under the name of its function."""
+    """Register a query under the name of its function, less the ``q_`` that
+    keeps some of them apart from the operators they run."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return build(apply_settings(spark), sf_dir)
 
-    QUERIES[build.__name__] = run
+    QUERIES[build.__name__.removeprefix("q_")] = run
     return run
 
 
@@ -133,7 +134,7 @@ def csv_roundtrip_dim_time(spark, sf_dir):
 
 
 @query
-def list_files_by_prefix(spark, sf_dir):
+def q_list_files(spark, sf_dir):
     """Folders of the log files in a bucket that also holds song files."""
     root = new_folder(spark, "bucket")
     day = F.to_date(epoch_timestamp(F.col("ts")))
@@ -156,12 +157,12 @@ def list_keys_head(spark, sf_dir):
 
 
 @query
-def committed_file_names(spark, sf_dir):
+def q_committed_files(spark, sf_dir):
     return committed_files(testbed.load_ledger(spark, sf_dir, BUCKET), LOG_PREFIX)
 
 
 @query
-def new_file_names(spark, sf_dir):
+def q_new_files(spark, sf_dir):
     ledger = testbed.load_ledger(spark, sf_dir, BUCKET)
     return new_files(testbed.log_keys(spark, sf_dir), BUCKET, ledger, LOG_PREFIX)
 
@@ -223,12 +224,12 @@ def fact_songplay_deduped(spark, sf_dir):
 
 
 @query
-def calendar_dates(spark, sf_dir):
+def q_dim_date(spark, sf_dir):
     return _busy_days(spark, sf_dir)
 
 
 @query
-def calendar_times(spark, sf_dir):
+def q_dim_time(spark, sf_dir):
     return _busy_seconds(spark, sf_dir)
 
 

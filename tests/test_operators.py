@@ -84,6 +84,12 @@ def test_previous_in_group_with_a_hot_group(spark):
     assert got == expected
 
 
+def test_previous_in_group_of_copies(spark):
+    df = spark.createDataFrame([("g", 5)] * 300 + [("g", 4), ("h", 5)], "g string, t int").repartition(6)
+    got = previous_in_group(df, ["g"], ["t"], "t", "before", block_rows=50).groupBy("g", "t", "before").count().collect()
+    assert sorted(map(tuple, got), key=str) == [("g", 4, None, 1), ("g", 5, 4, 1), ("g", 5, 5, 299), ("h", 5, None, 1)]
+
+
 @SOME
 @given(st.lists(st.sampled_from("abcdef")), st.lists(st.sampled_from("defgh")))
 def test_difference_is_a_set_difference(spark, listed, committed):

@@ -1,0 +1,109 @@
+"""Physical plans: what is pushed down, what is shuffled, what happens to hot keys."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from playstar.plans import analytics, star
+from playstar.schemas import table_schema
+
+
+def executed(df):
+    """The plan after the run, as adaptive execution has left it."""
+    df.write.format("noop").mode("overwrite").save()
+    query = df._jdf.queryExecution()
+    query.executedPlan().executeCollect()
+    return query.executedPlan().toString()
+
+
+def planned(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def conf(spark):
+    changed = {}
+
+    def put(key, value):
+        changed.setdefault(key, spark.conf.get(key, None))
+        spark.conf.set(key, value)
+
+    yield put
+    for key, value in changed.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@pytest.fixture
+def skewed(spark, tmp_path):
+    """A third of all plays by one user, and a third of one song."""
+    n = 60_000
+    spark.range(n).select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in table_schema("staging_song_log")
+          if f.name not in ("artist", "song", "userId", "ts", "song_log_id", "userAgent")],
+        F.col("id").alias("song_log_id"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("a"), (F.col("id") % 500).cast("string"))).alias("artist"),
+        F.when(F.col("id") % 3 == 0, "t0").otherwise(F.concat(F.lit("t"), (F.col("id") % 7).cast("string"))).alias("song"),
+        F.when(F.col("id") % 3 == 1, 1).otherwise(F.col("id") % 4000).cast("int").alias("userId"),
+        (F.col("id") * 1000).alias("ts"),
+        F.repeat(F.sha2(F.col("id").cast("string"), 256), 2).alias("userAgent"),
+    ).write.parquet(str(tmp_path / "log"))
+    spark.range(4000).select(F.col("id").alias("user_key"), F.col("id").cast("int").alias("user_id")).write.parquet(
+        str(tmp_path / "user")
+    )
+    spark.range(501).select(
+        F.col("id").alias("artist_key"),
+        F.concat(F.lit("A"), F.col("id").cast("string")).alias("artist_id"),
+        F.when(F.col("id") == 500, "hot").otherwise(F.concat(F.lit("a"), F.col("id").cast("string"))).alias("artist_name"),
+    ).write.parquet(str(tmp_path / "artist"))
+    spark.range(3500).select(
+        F.col("id").alias("song_key"),
+        F.concat(F.lit("A"), (F.col("id") % 500).cast("string")).alias("artist_id"),
+        F.concat(F.lit("t"), (F.col("id") % 7).cast("string")).alias("song_title"),
+    ).write.parquet(str(tmp_path / "song"))
+    return [spark.read.parquet(str(tmp_path / name)) for name in ("log", "user", "artist", "song")]
+
+
+def test_hot_users_and_songs_are_split(skewed, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "100KB")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "1.5")
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100KB")
+    conf("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+    plays = star.songplay_rows(*skewed, broadcast_rows=0)
+    plan = executed(plays)
+    final = plan[: plan.index("Initial Plan")]
+    assert final.count("SortMergeJoin(skew=true)") == 2
+    split = {tuple(r) for r in plays.collect()}
+    conf("spark.sql.adaptive.skewJoin.enabled", "false")
+    assert {tuple(r) for r in star.songplay_rows(*skewed).collect()} == split
+    # Each of the four thousand users is one row, so plays are neither lost nor doubled.
+    assert plays.count() == skewed[0].count()
+
+
+def test_distinct_reuses_the_partitioning_of_the_user_join(skewed, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = planned(star.songplay_rows(*skewed, broadcast_rows=0))
+    above_user_join = plan[: plan.index("SortMergeJoin")]
+    assert "HashAggregate" in above_user_join and "Exchange" not in above_user_join
+
+
+def test_fact_scan_reads_what_it_needs(skewed):
+    plan = planned(star.songplay_rows(*skewed))
+    assert "IsNotNull(artist)" in plan and "IsNotNull(userId)" in plan
+    scan = next(line for line in plan.splitlines() if "FileScan" in line and "userAgent" in line)
+    assert "firstName" not in scan and "song_log_id" not in scan
+
+
+def test_reports_count_before_they_join(skewed, spark):
+    fact = spark.range(1000).select(
+        F.lit(20240101).alias("start_date_key"), F.lit(1).cast("bigint").alias("artist_key"),
+        (F.col("id") % 5).alias("song_key"),
+    )
+    days = spark.createDataFrame([(20240101, "Weekday")], "date_key int, is_weekday string")
+    counts = analytics.song_artist_daytype_counts(fact, skewed[2], skewed[3], days)
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    # Two levels of aggregation: one below the catalogue joins, one above.
+    assert plan.index("Aggregate [is_weekday") < plan.index("Join LeftOuter") < plan.rindex("Aggregate [is_weekday")
+    assert {(r.song_title, r.songplay_count) for r in counts.collect()} == {
+        ("t0", 200), ("t1", 200), ("t2", 200), ("t3", 200), ("t4", 200),
+    }
