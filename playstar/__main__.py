@@ -8,11 +8,13 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import SparkSession
+
 from playstar.plans import lifecycle
 from playstar.plans.incremental import IncrementalStaging
 from playstar.plans.report import print_report
 from playstar.schemas import LOG_MAPPING, SONG_MAPPING
-from playstar.session import build_session
+from playstar.session import build_session, clear_scratch
 from playstar.sources.listing import list_files
 
 STEPS = ("list", "reset", "etl", "incremental", "report")
@@ -33,26 +35,32 @@ def main(arguments: list[str] | None = None) -> None:
         if missing:
             parser.error(f"{step} needs {' and '.join(missing)}")
 
+    borrowed = SparkSession.getActiveSession() is not None
     spark = build_session()
-    for step in options.steps:
-        if step == "list":
-            for folder in (options.log, options.songs):
-                print(f"{list_files(spark, folder).count()} files below {folder}")
-        elif step == "reset":
-            lifecycle.reset(spark, options.db)
-        elif step == "etl":
-            lifecycle.refresh_from_files(
-                spark, options.db, options.log, options.songs, song_errors=options.song_errors
-            )
-        elif step == "incremental":
-            staging = IncrementalStaging(spark, options.staging)
-            staging.load_new(options.log, LOG_MAPPING)
-            staging.load_new(options.songs, SONG_MAPPING, max_errors=options.song_errors)
-            lifecycle.refresh(
-                spark, options.db, staging.rows("staging_song_log"), staging.rows("staging_song_data")
-            )
-        elif step == "report":
-            print_report(lifecycle.tables_of(spark, options.db))
+    try:
+        for step in options.steps:
+            run(spark, step, options)
+    finally:
+        if not borrowed:
+            clear_scratch(spark)
+            spark.stop()
+
+
+def run(spark: SparkSession, step: str, options: argparse.Namespace) -> None:
+    if step == "list":
+        for folder in (options.log, options.songs):
+            print(f"{list_files(spark, folder).count()} files below {folder}")
+    elif step == "reset":
+        lifecycle.reset(spark, options.db)
+    elif step == "etl":
+        lifecycle.refresh_from_files(spark, options.db, options.log, options.songs, song_errors=options.song_errors)
+    elif step == "incremental":
+        staging = IncrementalStaging(spark, options.staging)
+        staging.load_new(options.log, LOG_MAPPING)
+        staging.load_new(options.songs, SONG_MAPPING, max_errors=options.song_errors)
+        lifecycle.refresh(spark, options.db, staging.rows("staging_song_log"), staging.rows("staging_song_data"))
+    elif step == "report":
+        print_report(lifecycle.tables_of(spark, options.db))
 
 
 if __name__ == "__main__":

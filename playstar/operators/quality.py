@@ -42,34 +42,14 @@ def pk_duplicates(tables: dict[str, DataFrame]) -> DataFrame:
 def fk_orphans(tables: dict[str, DataFrame]) -> DataFrame:
     """(table_name, column_name, orphan_rows): rows whose key the parent lacks.
 
-    A NULL reference is no orphan. Every child is read once: its references are
-    turned into (column, value) pairs and counted per pair before they meet the
-    parents, so a hot key is one row by the time it is joined.
+    A NULL reference is no orphan. Each link scans one column of the child and
+    counts its values before they meet the parent, so a hot key is one row by
+    the time it is joined.
     """
     reports = []
-    for child in dict.fromkeys(name for name, _, _ in FOREIGN_KEYS):
-        links = [(column, parent) for name, column, parent in FOREIGN_KEYS if name == child]
-        columns = [column for column, _ in links]
-        used = (
-            tables[child]
-            .select([F.col(name).cast("bigint").alias(name) for name in columns])
-            .unpivot([], columns, "column_name", "key")
-            .where("key IS NOT NULL")
-            .groupBy("column_name", "key")
-            .agg(F.count(F.lit(1)).alias("rows"))
-        )
-        present = _stack(
-            [tables[parent].select(F.lit(column).alias("column_name"), F.col(PRIMARY_KEYS[parent]).cast("bigint").alias("key"))
-             for column, parent in links]
-        )
-        orphans = used.join(present, ["column_name", "key"], "left_anti")
-        # One zero row per link keeps links without orphans in the report.
-        none = used.sparkSession.createDataFrame([(name, 0) for name in columns], "column_name string, rows bigint")
-        reports.append(
-            orphans.select("column_name", "rows")
-            .unionByName(none)
-            .groupBy("column_name")
-            .agg(F.sum("rows").alias("orphan_rows"))
-            .select(F.lit(child).alias("table_name"), "column_name", "orphan_rows")
-        )
+    for child, column, parent in FOREIGN_KEYS:
+        used = tables[child].where(F.col(column).isNotNull()).groupBy(F.col(column).alias("key")).count()
+        known = tables[parent].select(F.col(PRIMARY_KEYS[parent]).alias("key"))
+        orphans = used.join(known, "key", "left_anti").agg(F.coalesce(F.sum("count"), F.lit(0)).alias("orphan_rows"))
+        reports.append(orphans.select(F.lit(child).alias("table_name"), F.lit(column).alias("column_name"), "orphan_rows"))
     return _stack(reports)

@@ -59,9 +59,20 @@ def shared_root(spark: SparkSession) -> str:
     return _local_folders[app]
 
 
+def _scratch(spark: SparkSession) -> str:
+    return f"{shared_root(spark)}/playstar/{spark.sparkContext.applicationId}"
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path nobody has used yet, below the shared folder."""
-    return f"{shared_root(spark)}/playstar/{label}-{uuid.uuid4().hex}"
+    return f"{_scratch(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application has put below the shared folder. Frames that
+    have not been written elsewhere are lost."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_scratch(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def store(df: DataFrame, path: str) -> DataFrame:
