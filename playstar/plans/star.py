@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from playstar.functions.moments import clock_key, date_key, epoch_timestamp
 from playstar.operators.keys import arrival_keys, ranked_keys
 from playstar.schemas import PRIMARY_KEYS, natural_columns, table_schema
-from playstar.session import store
+from playstar.session import store, together
 
 # Takes a table name and its rows, writes them, and returns the written rows.
 Sink = Callable[[str, DataFrame], DataFrame]
@@ -163,7 +163,7 @@ def songplay_rows(
 
     artist = dim_artist.where(F.col("artist_id").isNotNull()).select("artist_name", "artist_id", "artist_key")
     song = dim_song.select("song_title", F.col("artist_id").alias("song_artist_id"), "song_key")
-    if artist.count() + song.count() <= broadcast_rows:
+    if sum(together(artist.count, song.count)) <= broadcast_rows:
         resolved = _resolve(detail, F.broadcast(artist), F.broadcast(song))
     else:
         pairs = _resolve(plays.select("artist", "song").distinct(), artist, song)
@@ -210,10 +210,16 @@ def songplay_rows_deduplicated(
 
 
 def build_star(song_log: DataFrame, song_data: DataFrame, sink: Sink) -> dict[str, DataFrame]:
-    """Derive and write the star tables; each step reads what the one before wrote."""
-    users = sink("dim_user", keyed_dimension(user_rows(song_log), "dim_user"))
-    artists = sink("dim_artist", keyed_dimension(artist_rows(song_data), "dim_artist", ARTIST_ORDER))
-    songs = sink("dim_song", keyed_dimension(song_rows(song_data, artists), "dim_song"))
+    """Derive and write the star tables; each step reads what the ones before wrote."""
+
+    def write_users() -> tuple[DataFrame]:
+        return (sink("dim_user", keyed_dimension(user_rows(song_log), "dim_user")),)
+
+    def write_catalogue() -> tuple[DataFrame, DataFrame]:
+        artists = sink("dim_artist", keyed_dimension(artist_rows(song_data), "dim_artist", ARTIST_ORDER))
+        return artists, sink("dim_song", keyed_dimension(song_rows(song_data, artists), "dim_song"))
+
+    (users,), (artists, songs) = together(write_users, write_catalogue)
     plays = arrival_keys(songplay_rows(song_log, users, artists, songs), "songplay_key")
     fact = sink("fact_songplay", conform(plays, "fact_songplay"))
     return {"dim_user": users, "dim_artist": artists, "dim_song": songs, "fact_songplay": fact}

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from playstar.plans.calendar import dim_date, dim_time
 from playstar.plans.star import build_star, conform, parquet_sink, stage
-from playstar.session import new_folder
+from playstar.session import new_folder, together
 from playstar.sources import testbed
 from playstar.sources.listing import list_files
 
@@ -17,13 +17,17 @@ _built: dict[tuple, dict[str, DataFrame]] = {}
 def build_warehouse(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Stage the inputs and write all eight tables to a new folder."""
     sink = parquet_sink(new_folder(spark, "warehouse"))
-    log = sink("staging_song_log", stage(testbed.song_log(spark, sf_dir), "staging_song_log"))
-    songs = sink("staging_song_data", stage(testbed.song_data(spark, sf_dir), "staging_song_data"))
+    log, songs, times, dates = together(
+        lambda: sink("staging_song_log", stage(testbed.song_log(spark, sf_dir), "staging_song_log")),
+        lambda: sink("staging_song_data", stage(testbed.song_data(spark, sf_dir), "staging_song_data")),
+        lambda: sink("dim_time", conform(dim_time(spark), "dim_time")),
+        lambda: sink("dim_date", conform(dim_date(spark), "dim_date")),
+    )
     return {
         "staging_song_log": log,
         "staging_song_data": songs,
-        "dim_time": sink("dim_time", conform(dim_time(spark), "dim_time")),
-        "dim_date": sink("dim_date", conform(dim_date(spark), "dim_date")),
+        "dim_time": times,
+        "dim_date": dates,
         **build_star(log, songs, sink),
     }
 

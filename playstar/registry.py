@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ from playstar.sources.csv_files import read_csv, write_csv
 from playstar.sources.json_files import load_json, match_by_name
 from playstar.sources.ledger import committed_files
 from playstar.sources.listing import keys_with_prefix, list_files
-from playstar.sources.manifest import read_manifest, write_manifest
+from playstar.sources.manifest import each_manifest, read_manifest, write_manifest
 from playstar.streaming.file_stream import stream_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,9 +63,12 @@ def _log_as_json(rows: DataFrame, path: str) -> None:
 
 @query
 def load_log_json(spark, sf_dir):
-    folder = new_folder(spark, "log-json")
+    """Log files by manifest."""
+    folder, listed = new_folder(spark, "log-json"), new_folder(spark, "manifest")
     _log_as_json(testbed.song_log(spark, sf_dir), folder)
-    return load_json(spark, folder, LOG_MAPPING, new_folder(spark, "staged")).rows
+    write_manifest(list_files(spark, folder).where("length > 0"), "path", listed)
+    loads = [load_json(spark, paths, LOG_MAPPING, new_folder(spark, "staged")) for paths in each_manifest(spark, listed)]
+    return reduce(DataFrame.unionByName, [load.rows for load in loads])
 
 
 @query

@@ -6,9 +6,14 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+
 # Runtime settings every plan of this package counts on. Sizes and partition
 # numbers are left to whoever owns the cluster.
 RUNTIME_SETTINGS = {
@@ -85,6 +90,12 @@ def store(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def together(*steps: Callable[[], T]) -> list[T]:
+    """Run independent steps side by side: the tail of one leaves room for the next."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return [step.result() for step in [pool.submit(step) for step in steps]]
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)

@@ -93,6 +93,13 @@ def test_error_budget_of_a_direct_write(spark, tmp_path, folder):
                 budget.check()
 
 
+def test_empty_files_are_within_any_budget(spark, tmp_path, folder):
+    path = write_lines(tmp_path / "e.json", [""])
+    budget = ErrorBudget("staging_song_data")
+    budget.watch(parse_json(spark.read, path, SONG_MAPPING)).write.parquet(folder("t"))
+    budget.check()
+
+
 def test_match_by_name(spark):
     text = json.dumps({**SONGS[1], "unknown": 1}, sort_keys=True)
     row = spark.createDataFrame([(text,)], "value string").select(match_by_name(F.col("value"), SONG_MAPPING)).first()[0]
