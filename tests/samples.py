@@ -3,24 +3,24 @@
 import json
 
 SONGS = [
-    {"song_id": "SOFOXDX12AB018AB7E", "num_songs": 1, "title": "Blue Jeans", "artist_name": "Plain Jane Automobile",
-     "artist_latitude": None, "year": 0, "duration": 158.30159, "artist_id": "ARYNWFP11F4C8424F6",
+    {"song_id": "SOPAPERBOATS000001", "num_songs": 1, "title": "Paper Boats", "artist_name": "Glass Harbour",
+     "artist_latitude": None, "year": 0, "duration": 161.25, "artist_id": "ARGLASSHARBOUR0001",
      "artist_longitude": None, "artist_location": ""},
-    {"song_id": "SONXDON12AB0187EFD", "num_songs": 1, "title": "Please Don't Judas Me", "artist_name": "Nazareth",
-     "artist_latitude": 56.07043, "year": 1975, "duration": 584.14975, "artist_id": "AR1MPEI1187B9ABB20",
-     "artist_longitude": -3.44291, "artist_location": "Dunfermline, Scotland"},
-    {"song_id": "SOTKKSP12A6BD53D32", "num_songs": 1, "title": "Prvni vesela", "artist_name": "Krystof",
-     "artist_latitude": None, "year": 2006, "duration": 262.55628, "artist_id": "AREUYDJ1187B9BA040",
-     "artist_longitude": None, "artist_location": "Havířov, Česká republika"},
+    {"song_id": "SODONTWAIT00000002", "num_songs": 1, "title": "Don't Wait (For Me)", "artist_name": "The Tidewaters",
+     "artist_latitude": 54.4858, "year": 1981, "duration": 402.5, "artist_id": "ARTIDEWATERS000002",
+     "artist_longitude": -0.6206, "artist_location": "Whitby, England"},
+    {"song_id": "SOLETO000000000003", "num_songs": 1, "title": "Léto u řeky", "artist_name": "Jiřina",
+     "artist_latitude": None, "year": 2011, "duration": 233.75, "artist_id": "ARJIRINA0000000003",
+     "artist_longitude": None, "artist_location": "Třebíč, Česko"},
     {"song_id": "SONOPLACE", "num_songs": 1, "title": "Somewhere", "artist_name": "Nowhere Band",
      "artist_latitude": None, "year": 1999, "duration": 1200.5, "artist_id": "ARNOPLACE",
      "artist_longitude": None, "artist_location": None},
 ]
 
 PLAY = {
-    "artist": "Nazareth", "auth": "Logged In", "firstName": "Ada", "gender": "F", "itemInSession": 0,
-    "lastName": "Day", "length": 584.14975, "level": "free", "location": "Oslo", "method": "PUT",
-    "page": "NextSong", "registration": 1540919166796.0, "sessionId": 12, "song": "Please Don't Judas Me",
+    "artist": "The Tidewaters", "auth": "Logged In", "firstName": "Ada", "gender": "F", "itemInSession": 0,
+    "lastName": "Day", "length": 402.5, "level": "free", "location": "Oslo", "method": "PUT",
+    "page": "NextSong", "registration": 1540919166796.0, "sessionId": 12, "song": "Don't Wait (For Me)",
     "status": 200, "ts": 1542241826796, "userAgent": "agent", "userId": "7",
 }
 
