@@ -12,6 +12,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from playstar.session import new_folder, store
+
+#: Most crowded keys that are broadcast; beyond it they are joined by a shuffle.
+HOT_KEYS = 100_000
 
 _shipped: set[str] = set()
 
@@ -44,6 +50,11 @@ def slices(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
         yield batch.slice(start, rows)
 
 
+def extended(rows: DataFrame, more: str) -> StructType:
+    """The schema of ``rows`` and further fields."""
+    return StructType(rows.schema.fields + StructType.fromDDL(more).fields)
+
+
 def bounded_cells(rows: DataFrame, keys: list[str], member: str, limit: int) -> DataFrame:
     """Deal the rows of a key out to cells of about ``2 * limit`` rows in which all its pairs still meet.
 
@@ -52,12 +63,15 @@ def bounded_cells(rows: DataFrame, keys: list[str], member: str, limit: int) ->
     blocks of the cell) and ``block`` (the row's own). In a cell with ``lo < hi`` only pairs
     of different blocks are new; a cell with ``lo = hi`` has the pairs of one block.
     """
-    hot = (
+    hot = store(
         rows.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("rows_of_key"))
         .where(F.col("rows_of_key") > limit)
-        .select(*keys, F.ceil(F.col("rows_of_key") / limit).cast("int").alias("splits"))
+        .select(*keys, F.ceil(F.col("rows_of_key") / limit).cast("int").alias("splits")),
+        new_folder(rows.sparkSession, "hot"),
     )
+    if hot.count() <= HOT_KEYS:
+        hot = F.broadcast(hot)
     splits = F.coalesce("splits", F.lit(1))
     return (
         rows.join(hot, keys, "left")

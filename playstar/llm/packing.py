@@ -6,7 +6,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +16,8 @@ from playstar.llm.common import session_of, slices, vocabulary
 WORDS_KEPT = 500_000
 #: Open windows of a partition above which their content is drawn together.
 OPEN_WINDOWS = 2048
+#: Below it, a letter to Python is a letter to the library's pattern whatever their Unicode versions.
+LATIN_END = "\u0250"
 
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
@@ -34,27 +35,31 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        from tokenizers.pre_tokenizers import ByteLevel
-
-        self.mapped = {b: ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(chr(b))[0][0] for b in range(128)}
+        # The library's spelling of bytes: printable ones as they are, the others from 256 on in their order.
+        printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        others = [b for b in range(256) if b not in printable]
+        self.spelled = {b: b if b in printable else 256 + others.index(b) for b in range(256)}
         self.normalize = self.tokenizer.normalizer.normalize_str
         self.pre_tokenize = self.tokenizer.pre_tokenizer.pre_tokenize_str
         self.model = self.tokenizer.model
         self.simple: dict[str, bytes] = {}
-        self.letters = regex.compile(r"\p{L}+[.,]?\Z")
 
     def merged(self, part: str) -> bytes:
         found = self.simple.get(part)
         if found is None:
-            found = self.simple[part] = np.array([t.id for t in self.model.tokenize(part)], "<u4").tobytes()
+            spelled = part if part.isascii() else part.encode().decode("latin-1").translate(self.spelled)
+            found = self.simple[part] = np.array([t.id for t in self.model.tokenize(spelled)], "<u4").tobytes()
         return found
 
     def __missing__(self, word: str) -> bytes:
-        plain = self.normalize(word)
-        if plain.isascii() and plain.isalpha():
+        plain = word.lower() if word.isascii() else self.normalize(word)
+        if plain.isalpha() and max(plain) < LATIN_END:
             ids = self.merged(plain)
+        elif plain[:-1].isalpha() and plain[-1] in ".," and max(plain) < LATIN_END:
+            ids = self.merged(plain[:-1]) + self.merged(plain[-1])
         else:
-            ids = b"".join(self.merged(part) for part, _ in self.pre_tokenize(plain))
+            spelled = (part for part, _ in self.pre_tokenize(plain))
+            ids = np.array([t.id for part in spelled for t in self.model.tokenize(part)], "<u4").tobytes()
         self[word] = ids
         return ids
 

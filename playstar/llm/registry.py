@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playstar.llm import packing, simhash
+from playstar.llm import ann, byte_bpe, embed_dedup, packing, sharding, simhash, token_count, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,13 +25,102 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Host, path and verdict of the rules that every url is judged by.
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(_table(spark, sf_dir, "pages"), url_filter.rule_table(spark, URL_RULES))
+
+
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decoded = byte_bpe.decode(byte_bpe.encode(_table(spark, sf_dir, "documents")))
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op5_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.count_tokens(_table(spark, sf_dir, "documents"), limit=4096)
+
+
+def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return ann.search(vectors, vectors.where(F.col("vec_id") % 100 == 0), k=10)
+
+
+SHARDS = [f"shard-{i:02d}" for i in range(64)]
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(_table(spark, sf_dir, "documents").select("doc_id"), ["doc_id"], SHARDS)
+
+
+def op8_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model, threshold=0.7).drop("sentences")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         op1_simhash,
         op2_packing,
+        op3_url_filter,
+        op4_byte_bpe,
+        op5_token_count,
+        op6_ann,
+        op7_sharding,
+        op8_embed_dedup,
+        op10_toxicity,
     )
 }
 
+_URL_RULES_SQL = ", ".join(str(rule) for rule in URL_RULES)
+_SHARD_NAMES_SQL = ", ".join(f"'{name}'" for name in SHARDS)
+
 #: The same rows as DuckDB SQL, where SQL can express the operator.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_url_filter": f"""
+        WITH cut AS (
+            SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+            FROM pages
+        ), parts AS (
+            SELECT page_id,
+                   translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+            FROM cut
+        ), rules(rule_host, rule_path, rule_verdict) AS (VALUES {_URL_RULES_SQL})
+        SELECT page_id, host, path, best.rule AS rule, coalesce(best.verdict, 'allow') AS verdict
+        FROM (
+            SELECT page_id, host, path, (
+                SELECT arg_max({{'rule': rule_host || rule_path, 'verdict': rule_verdict}}, length(rule_host || rule_path))
+                FROM rules
+                WHERE (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+            ) AS best
+            FROM parts
+        )""",
+    "op7_sharding": f"""
+        WITH slots AS (
+            SELECT doc_id, CAST(CAST('0x' || substr(md5(
+                CASE WHEN doc_id IS NULL THEN 'null' ELSE length(CAST(doc_id AS VARCHAR)) || ':' || doc_id END
+            ), 1, 15) AS BIGINT) % {sharding.TABLE_SIZE} AS INTEGER) AS slot
+            FROM documents
+        )
+        SELECT doc_id, slot, [{_SHARD_NAMES_SQL}][{sharding.lookup_table(SHARDS)}[slot + 1] + 1] AS shard
+        FROM slots""",
+}
