@@ -50,6 +50,13 @@ def slices(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
         yield batch.slice(start, rows)
 
 
+def free_name(name: str, taken: list[str]) -> str:
+    """A column name that is not among those taken."""
+    while name.lower() in {other.lower() for other in taken}:
+        name += "_"
+    return name
+
+
 def extended(rows: DataFrame, more: str) -> StructType:
     """The schema of ``rows`` and further fields."""
     return StructType(rows.schema.fields + StructType.fromDDL(more).fields)

@@ -49,8 +49,9 @@ def buckets(vectors: np.ndarray, tables: int, codes: int, probes: int, seed: int
     padded = np.zeros((n, width))
     padded[:, :dims] = vectors
     rng = np.random.default_rng(seed)
-    out = np.empty((n, tables, probes), np.int32)
     depth = min(probes, width)
+    probes = min(probes, depth**codes)
+    out = np.empty((n, tables, probes), np.int32)
     for table in range(tables):
         corner = np.empty((n, codes, depth), np.int64)
         behind = np.empty((n, codes, depth))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playstar.llm import ann, byte_bpe, embed_dedup, packing, sharding, simhash, token_count, toxicity, url_filter
+from playstar.llm import ann, byte_bpe, embed_dedup, packing, quality, sharding, simhash, token_count, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,6 +69,11 @@ def op8_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"), threshold=0.98)
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, _table(spark, sf_dir, "labels")), threshold=0.3)
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = toxicity.train(docs, _table(spark, sf_dir, "labels"))
@@ -86,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_ann,
         op7_sharding,
         op8_embed_dedup,
+        op9_quality,
         op10_toxicity,
     )
 }

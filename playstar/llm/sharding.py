@@ -7,6 +7,8 @@ import hashlib
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from playstar.llm.common import free_name
+
 #: A prime; more than a hundred slots for each of 64 shards, so shares differ by less than 1 %.
 TABLE_SIZE = 8191
 #: Largest table: a few MB, so the broadcast of it is bounded whatever the data.
@@ -58,16 +60,20 @@ def assign(rows: DataFrame, keys: list[str], shards: list[str], size: int = TABL
     Null keys, empty texts, repeated rows: placed by their value like any other, null as a value of its own.
     Empty tables stay empty.
     """
+    names = [c for c in rows.columns if c not in (slot, shard)]
+    key, value = (free_name(f"_{c}", rows.columns) for c in ("slot", "shard"))
     table = [(i, shards[k]) for i, k in enumerate(lookup_table(shards, size))]
-    places = rows.sparkSession.createDataFrame(table, "table_slot int, table_shard string")
-    placed = rows.select(*(F.col(f"`{c}`") for c in rows.columns if c not in (slot, shard)), slot_of([F.col(f"`{k}`") for k in keys], size).alias(slot))
-    return placed.join(F.broadcast(places), F.col(slot) == F.col("table_slot"), "left").select(
-        *(F.col(f"`{c}`") for c in placed.columns), F.col("table_shard").alias(shard)
+    places = rows.sparkSession.createDataFrame(table, f"{key} int, {value} string")
+    place = slot_of([F.col(f"`{k}`") for k in keys], size)
+    placed = rows.select(*(F.col(f"`{c}`") for c in names), place.alias(slot))
+    return placed.join(F.broadcast(places), F.col(f"`{slot}`") == F.col(key), "left").select(
+        *(F.col(f"`{c}`") for c in names), slot, F.col(value).alias(shard)
     )
 
 
 def write_shards(rows: DataFrame, keys: list[str], shards: list[str], path: str, files: int = 4, size: int = TABLE_SIZE) -> None:
     """Write each shard to a folder of its own, in about ``files`` files, whatever the size of a shard."""
-    placed = assign(rows, keys, shards, size).drop("slot")
+    part = free_name("_part", rows.columns)
     spread = F.pmod(F.xxhash64(*keys, F.monotonically_increasing_id()), F.lit(files))
-    placed.withColumn("_part", spread).repartition("shard", "_part").drop("_part").write.partitionBy("shard").parquet(path)
+    placed = assign(rows, keys, shards, size).drop("slot").withColumn(part, spread)
+    placed.repartition("shard", part).drop(part).write.partitionBy("shard").parquet(path)
