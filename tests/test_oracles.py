@@ -2,10 +2,12 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from playstar.oracle import oracle_statements
+from playstar.registry import QUERIES
 from tests.compare import differences, open_tables
 
-ORACLES = oracle_sql()
+ORACLES = oracle_statements()
 
 
 @pytest.fixture(scope="module")
@@ -15,12 +17,12 @@ def tables(sf_dir):
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(ORACLES)
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_sql(spark, sf_dir, tables, name):
-    df = queries()[name](spark, sf_dir)
+    df = QUERIES[name](spark, sf_dir)
     assert differences(df, tables, ORACLES[name]) == ""
 
 
