@@ -183,7 +183,7 @@ def near_duplicates(
     Rows whose vector is null, empty, zero or has null or non-finite components, or whose label is null, link with
     nothing and are a component of their own, kept; so are rows without an id, with a null component. Vectors of different
     lengths never link. Repeated rows count as vectors of their own; rows of one id with
-    different vectors share a class result each by their vector. Other columns are ignored; an empty table gives an empty one.
+    different vectors have their own links and are in one component. Other columns are ignored; an empty table gives an empty one.
     """
     spark = session_of(vectors)
     given = vectors.select(F.col(vec_id).alias("vec_id"), F.col(embedding).alias("embedding"), F.col(label).cast("string").alias("label"))
@@ -202,7 +202,16 @@ def near_duplicates(
         by_group(cells, [*key, "lo", "hi"], _compare(threshold, tables), "member long, root long, links long"),
         new_folder(spark, "found"),
     )
-    components = connected_components(found, "member", "root")
+    # An id that is given with several vectors links their classes.
+    name = F.struct("label", "digest")
+    several = taking_part.groupBy("vec_id").agg(F.min(name).alias("low"), F.max(name).alias("high")).where("low <> high")
+    own = (
+        taking_part.select("vec_id", "label", "digest")
+        .join(several.select("vec_id"), "vec_id", "left_semi")
+        .join(classes, ["label", "digest"])
+        .select(F.col("vec_id").alias("member"), F.col("member").alias("root"))
+    )
+    components = connected_components(found.select("member", "root").union(own), "member", "root")
     of_class = (
         classes.drop("vector")
         .join(found.groupBy("member").agg(F.sum("links").alias("links")), "member", "left")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from playstar.llm.common import session_of
 
 #: Urls from which the borders of the ranges are taken. Borders balance the work; they change no result.
-SAMPLE_URLS = 20_000
+SAMPLE_URLS = 8_000
 RANGES_PER_PARTITION = 8
 #: After every key that begins with the same text.
 LAST = "\U0010ffff"
