@@ -22,12 +22,13 @@ def lenient_cast(text: Column, target: DataType) -> Column:
     """JSON text as a typed value: blank and unreadable text become NULL.
 
     Integers may come quoted, or as ``1540919166796.0``; the way over DECIMAL
-    keeps all digits of a BIGINT.
+    keeps all digits of a BIGINT. A value with a fraction is no integer.
     """
     if isinstance(target, StringType):
         return text
     if isinstance(target, (IntegerType, LongType)):
-        return strip(text).try_cast("decimal(38,6)").try_cast(target)
+        number = strip(text).try_cast("decimal(38,18)")
+        return F.when(number == F.floor(number), number).try_cast(target)
     return strip(text).try_cast(target)
 
 

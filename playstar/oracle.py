@@ -92,9 +92,9 @@ BLOCKS = {
             SELECT unnest(generate_series(DATE '2015-01-01', DATE '2025-12-31', INTERVAL 1 DAY)) AS d
         )""",
     "users": """
-        SELECT "userId" AS user_id, "firstName" AS user_first_name, "lastName" AS user_last_name,
+        SELECT DISTINCT "userId" AS user_id, "firstName" AS user_first_name, "lastName" AS user_last_name,
                gender AS user_gender, level AS user_level
-        FROM song_log WHERE artist IS NOT NULL GROUP BY ALL""",
+        FROM song_log WHERE artist IS NOT NULL""",
     "dim_user": """
         SELECT row_number() OVER (
                    ORDER BY user_id NULLS FIRST, user_first_name NULLS FIRST, user_last_name NULLS FIRST,
@@ -102,8 +102,8 @@ BLOCKS = {
                ) AS user_key, *
         FROM users""",
     "artists": """
-        SELECT artist_id, artist_name, artist_location, artist_longitude, artist_latitude
-        FROM song_data WHERE artist_name IS NOT NULL GROUP BY ALL""",
+        SELECT DISTINCT artist_id, artist_name, artist_location, artist_longitude, artist_latitude
+        FROM song_data WHERE artist_name IS NOT NULL""",
     "dim_artist": """
         SELECT row_number() OVER (
                    ORDER BY artist_id NULLS FIRST, artist_name NULLS FIRST, artist_location NULLS FIRST,
@@ -111,12 +111,11 @@ BLOCKS = {
                ) AS artist_key, *
         FROM artists""",
     "songs": """
-        SELECT dar.artist_key, sda.song_id, sda.artist_id, sda.title AS song_title,
+        SELECT DISTINCT dar.artist_key, sda.song_id, sda.artist_id, sda.title AS song_title,
                sda.year AS song_year, sda.duration AS song_duration
         FROM song_data AS sda
         LEFT JOIN dim_artist AS dar USING (artist_id, artist_name, artist_location)
-        WHERE sda.artist_id IS NOT NULL
-        GROUP BY ALL""",
+        WHERE sda.artist_id IS NOT NULL""",
     "dim_song": """
         SELECT row_number() OVER (
                    ORDER BY artist_key NULLS FIRST, song_id NULLS FIRST, artist_id NULLS FIRST,
@@ -130,7 +129,7 @@ BLOCKS = {
     "artist_lookup": "SELECT artist_name, artist_id, artist_key FROM dim_artist WHERE artist_id IS NOT NULL",
     "song_lookup": "SELECT song_title, artist_id, song_key FROM dim_song",
     "fact": """
-        SELECT CAST(strftime(pl.start_datetime, '%Y%m%d') AS INTEGER) AS start_date_key,
+        SELECT DISTINCT CAST(strftime(pl.start_datetime, '%Y%m%d') AS INTEGER) AS start_date_key,
                CAST(strftime(pl.start_datetime, '%H%M%S') AS INTEGER) AS start_time_key,
                ul.user_key, al.artist_key, so.song_key, pl.start_datetime, pl.auth,
                CAST(pl."sessionId" AS BIGINT) AS session_id, pl."itemInSession" AS item_in_session,
@@ -139,8 +138,7 @@ BLOCKS = {
         FROM plays AS pl
         INNER JOIN artist_lookup AS al ON al.artist_name = pl.artist
         LEFT JOIN song_lookup AS so ON so.artist_id = al.artist_id AND so.song_title = pl.song
-        LEFT JOIN user_lookup AS ul ON ul.user_id = pl."userId"
-        GROUP BY ALL""",
+        LEFT JOIN user_lookup AS ul ON ul.user_id = pl."userId" """,
     "day_counts": """
         SELECT dd.is_weekday, ds.song_title, da.artist_name, count(*) AS songplay_count
         FROM fact
@@ -208,10 +206,15 @@ def _null_profile(block: str, key: str, columns: dict[str, str]) -> str:
     return " UNION ALL ".join([f"SELECT '{key}' AS column_name, 0 AS null_count", *per_column])
 
 
-_LOG_COLUMNS = ("artist auth firstName gender itemInSession lastName length level location method page "
-                "registration sessionId song status ts userAgent userId").split()
-_FACT_COLUMNS = ("start_date_key start_time_key user_key artist_key song_key start_datetime auth session_id "
-                 "item_in_session method page status user_agent songplay_location registration").split()
+# The columns of the staged log and of the fact, in their order.
+_LOG_COLUMNS = (
+    "artist", "auth", "firstName", "gender", "itemInSession", "lastName", "length", "level", "location", "method", "page",
+    "registration", "sessionId", "song", "status", "ts", "userAgent", "userId",
+)
+_FACT_COLUMNS = (
+    "start_date_key", "start_time_key", "user_key", "artist_key", "song_key", "start_datetime", "auth", "session_id",
+    "item_in_session", "method", "page", "status", "user_agent", "songplay_location", "registration",
+)
 
 _LINKS = (
     ("fact_songplay", "start_date_key", "SELECT start_date_key AS key FROM fact", "SELECT date_key AS key FROM dim_date"),
@@ -231,6 +234,12 @@ _PLAYS_PER_HALF = """
 def oracle_statements() -> dict[str, str]:
     finals = {
         "load_log_json": "SELECT * FROM song_log",
+        "load_manifest_auto": "SELECT * FROM song_data",
+        "generate_manifest": """
+            SELECT DISTINCT 'day=' || strftime(ts, '%Y-%m-%d') AS folder, TRUE AS mandatory
+            FROM events WHERE day(ts) % 2 = 1""",
+        "incremental_errors": """
+            SELECT 'SO' || p_partkey AS song_id, TRUE AS tighter_rejected FROM part WHERE p_partkey % 10 <> 0""",
         "load_song_json": "SELECT * FROM song_data",
         "load_song_json_by_name": "SELECT * FROM song_data",
         "load_json_maxerror": """
@@ -241,6 +250,8 @@ def oracle_statements() -> dict[str, str]:
             FROM part""",
         "csv_roundtrip_dim_date": "SELECT * FROM busy_days",
         "csv_roundtrip_dim_time": "SELECT * FROM busy_seconds",
+        "csv_roundtrip_documents": "SELECT * FROM documents",
+        "csv_roundtrip_pages": "SELECT * FROM pages",
         "dim_date": "SELECT * FROM busy_days",
         "dim_time": "SELECT * FROM busy_seconds",
         "list_files": "SELECT DISTINCT 'log-data/day=' || strftime(ts, '%Y-%m-%d') AS folder FROM events",
@@ -328,6 +339,6 @@ def oracle_statements() -> dict[str, str]:
 
 
 _LOADS = """
-    SELECT CAST(page <> 'NextSong' AS BIGINT) AS load_batch, count(*) AS n_rows,
+    SELECT CAST(page IS DISTINCT FROM 'NextSong' AS BIGINT) AS load_batch, count(*) AS n_rows,
            count("userId") AS n_known_users, min(ts) AS first_ts, max(ts) AS last_ts
     FROM song_log GROUP BY 1"""

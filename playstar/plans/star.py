@@ -111,10 +111,6 @@ ARTIST_ORDER = ["artist_id", "artist_name", "artist_location", "artist_latitude"
 # Fact ----------------------------------------------------------------------
 
 
-# Artists and songs of at most this many rows together are sent to every task.
-BROADCAST_ROWS = 250_000
-
-
 def _resolve(names: DataFrame, artist: DataFrame, song: DataFrame) -> DataFrame:
     """``names`` with the keys of each artist of that name and of its song, if known."""
     same_song = (F.col("song") == F.col("song_title")) & (F.col("artist_id") == F.col("song_artist_id"))
@@ -122,21 +118,17 @@ def _resolve(names: DataFrame, artist: DataFrame, song: DataFrame) -> DataFrame:
 
 
 def songplay_rows(
-    song_log: DataFrame,
-    dim_user: DataFrame,
-    dim_artist: DataFrame,
-    dim_song: DataFrame,
-    broadcast_rows: int = BROADCAST_ROWS,
+    song_log: DataFrame, dim_user: DataFrame, dim_artist: DataFrame, dim_song: DataFrame
 ) -> DataFrame:
     """Distinct plays with the keys of their user, artist and song.
 
     A play counts when its artist is known by name; user and song may stay
     unknown. Only the log is large, so the plan is about how often it moves:
 
-    * Artists and songs are counted first. A small catalogue is broadcast. For a
-      large one, names are resolved once per distinct (artist, song) pair and
-      the pairs are joined to the plays: one more scan of two columns instead of
-      one more shuffle of the log, and a hot artist is a handful of pairs.
+    * Names are resolved once per distinct (artist, song) pair and the pairs are
+      joined to the plays: one more scan of two columns instead of one more
+      shuffle of the log, and a hot artist is a handful of pairs. What is small
+      enough to be broadcast is left to Spark's own size checks.
     * The user comes last, and DISTINCT includes ``user_id``. Where that join
       has to shuffle, its partitioning by user already serves the DISTINCT.
       (``user_key`` determines ``user_id``, so the rows are the same.)
@@ -163,13 +155,10 @@ def songplay_rows(
 
     artist = dim_artist.where(F.col("artist_id").isNotNull()).select("artist_name", "artist_id", "artist_key")
     song = dim_song.select("song_title", F.col("artist_id").alias("song_artist_id"), "song_key")
-    if sum(together(artist.count, song.count)) <= broadcast_rows:
-        resolved = _resolve(detail, F.broadcast(artist), F.broadcast(song))
-    else:
-        pairs = _resolve(plays.select("artist", "song").distinct(), artist, song)
-        known = pairs.select(F.col("artist").alias("known_artist"), F.col("song").alias("known_song"), "artist_key", "song_key")
-        same_pair = (F.col("artist") == F.col("known_artist")) & F.col("song").eqNullSafe(F.col("known_song"))
-        resolved = detail.join(known, same_pair)
+    pairs = _resolve(plays.select("artist", "song").distinct(), artist, song)
+    known = pairs.select(F.col("artist").alias("known_artist"), F.col("song").alias("known_song"), "artist_key", "song_key")
+    same_pair = (F.col("artist") == F.col("known_artist")) & F.col("song").eqNullSafe(F.col("known_song"))
+    resolved = detail.join(known, same_pair)
 
     user = dim_user.select("user_id", "user_key")
     return (

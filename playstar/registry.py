@@ -5,7 +5,6 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from contextlib import contextmanager
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,10 +20,10 @@ from playstar.schemas import LOG_MAPPING, SONG_MAPPING, natural_columns
 from playstar.session import apply_settings, new_folder, store
 from playstar.sources import testbed
 from playstar.sources.csv_files import read_csv, write_csv
-from playstar.sources.json_files import load_json, match_by_name
+from playstar.sources.json_files import TooManyErrors, load_json, match_by_name
 from playstar.sources.ledger import committed_files
 from playstar.sources.listing import keys_with_prefix, list_files
-from playstar.sources.manifest import each_manifest, read_manifest, write_manifest
+from playstar.sources.manifest import generate_manifest, load_manifest, read_manifest, write_manifest
 from playstar.streaming.file_stream import stream_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,9 +65,17 @@ def load_log_json(spark, sf_dir):
     """Log files by manifest."""
     folder, listed = new_folder(spark, "log-json"), new_folder(spark, "manifest")
     _log_as_json(testbed.song_log(spark, sf_dir), folder)
+    write_manifest(list_files(spark, folder).where("length > 0"), "path", listed, max_entries=3)
+    return load_manifest(spark, listed, LOG_MAPPING, new_folder(spark, "staged")).rows
+
+
+@query
+def load_manifest_auto(spark, sf_dir):
+    """Song files by manifest, their keys matched with the column names."""
+    folder, listed = new_folder(spark, "song-json"), new_folder(spark, "manifest")
+    testbed.song_data(spark, sf_dir).write.json(folder)
     write_manifest(list_files(spark, folder).where("length > 0"), "path", listed)
-    loads = [load_json(spark, paths, LOG_MAPPING, new_folder(spark, "staged")) for paths in each_manifest(spark, listed)]
-    return reduce(DataFrame.unionByName, [load.rows for load in loads])
+    return load_manifest(spark, listed, SONG_MAPPING, new_folder(spark, "staged"), max_errors=100, by_name=True).rows
 
 
 @query
@@ -121,10 +128,10 @@ def _busy_seconds(spark, sf_dir):
     return dim_time(spark).join(per_second, "time_key", "left").na.fill(0, ["n_events"])
 
 
-def _through_csv(spark, rows):
+def _through_csv(spark, rows, line_breaks=False):
     folder = new_folder(spark, "csv")
     write_csv(rows, folder)
-    return read_csv(spark, folder, rows.schema)
+    return read_csv(spark, folder, rows.schema, line_breaks)
 
 
 @query
@@ -137,6 +144,17 @@ def csv_roundtrip_dim_time(spark, sf_dir):
     return _through_csv(spark, _busy_seconds(spark, sf_dir))
 
 
+@query
+def csv_roundtrip_documents(spark, sf_dir):
+    """Texts with quotes, commas and line breaks."""
+    return _through_csv(spark, testbed.table(spark, sf_dir, "documents"), line_breaks=True)
+
+
+@query
+def csv_roundtrip_pages(spark, sf_dir):
+    return _through_csv(spark, testbed.table(spark, sf_dir, "pages"), line_breaks=True)
+
+
 @query
 def q_list_files(spark, sf_dir):
     """Folders of the log files in a bucket that also holds song files."""
@@ -178,6 +196,19 @@ def manifest_roundtrip(spark, sf_dir):
     return read_manifest(spark, folder)
 
 
+@query
+def q_generate_manifest(spark, sf_dir):
+    """Files of days that no load has committed yet, with the days' folders."""
+    root, target = new_folder(spark, "bucket"), new_folder(spark, "manifest")
+    day = F.to_date(epoch_timestamp(F.col("ts")))
+    logs = testbed.song_log(spark, sf_dir).withColumn("day", day).hint("rebalance", "day")
+    logs.write.partitionBy("day").json(f"{root}/{LOG_PREFIX}")
+    files = list_files(spark, root, f"{LOG_PREFIX}/")
+    loaded = files.where(F.regexp_extract("key", r"day=\d+-\d+-(\d+)/", 1).cast("int") % 2 == 0)
+    entries = generate_manifest(spark, root, f"{LOG_PREFIX}/", loaded.select(F.col("path").alias("filename")), target)
+    return entries.select(F.regexp_extract("url", r"(day=[^/]+)/", 1).alias("folder"), "mandatory").distinct()
+
+
 # Staging, dimensions, fact ---------------------------------------------------
 
 
@@ -345,7 +376,7 @@ def _own_database(spark):
 def insert_append(spark, sf_dir):
     """Paid users, then the others with their columns the other way round."""
     (users,) = _tables(spark, sf_dir, "dim_user")
-    paid = F.col("user_level") == "paid"
+    paid = F.col("user_level").eqNullSafe("paid")
     with _own_database(spark) as db:
         lifecycle.create_tables(spark, db)
         lifecycle.append(spark, db, "dim_user", users.where(paid))
@@ -378,7 +409,8 @@ def table_lifecycle(spark, sf_dir):
 def _arrivals(spark, sf_dir, source: str, load: Callable[[], None]) -> None:
     """Plays arrive first, other activity second; each time and once more, load."""
     log = testbed.song_log(spark, sf_dir)
-    for wave, rows in (("first", log.where("page = 'NextSong'")), ("second", log.where("page <> 'NextSong'"))):
+    plays = F.col("page").eqNullSafe("NextSong")
+    for wave, rows in (("first", log.where(plays)), ("second", log.where(~plays))):
         _log_as_json(rows, f"{source}/{wave}")
         load()
     load()
@@ -406,11 +438,35 @@ def incremental_load(spark, sf_dir):
 def incremental_stream(spark, sf_dir):
     source, root = new_folder(spark, "arriving"), new_folder(spark, "incremental")
     _arrivals(
-        spark, sf_dir, source, lambda: stream_new_files(spark, source, LOG_MAPPING, root).awaitTermination()
+        spark, sf_dir, source, lambda: stream_new_files(spark, source, LOG_MAPPING, root)
     )
     return _per_load(IncrementalStaging(spark, root))
 
 
+@query
+def incremental_errors(spark, sf_dir):
+    """Broken records spread over several manifests, counted against one budget for the run.
+
+    The tightest budget that lets them pass is used, and one less rejects the run before
+    anything is committed.
+    """
+    source, root = new_folder(spark, "arriving"), new_folder(spark, "incremental")
+    text = testbed.song_data(spark, sf_dir).select("song_id", F.to_json(F.struct("*")).alias("value"))
+    number = F.regexp_extract("song_id", r"(\d+)$", 1).cast("bigint")
+    broken = number % 10 == 0
+    lines = text.select(F.when(broken, F.substring("value", 1, 20)).otherwise(F.col("value")).alias("value"))
+    lines.repartition(4).write.text(source)
+    n_broken = text.where(broken).count()
+    staging = IncrementalStaging(spark, root)
+    try:
+        staging.load_new(source, SONG_MAPPING, max_errors=n_broken, max_files=1)
+        rejected = False
+    except TooManyErrors:
+        rejected = staging.ledger.entries().isEmpty()
+    staging.load_new(source, SONG_MAPPING, max_errors=n_broken + 1, max_files=1)
+    return staging.rows("staging_song_data").select("song_id", F.lit(rejected).alias("tighter_rejected"))
+
+
 def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Build the warehouse anew, whatever has been built before, and answer the
     headline question: for timing and for the smoke check."""

@@ -100,12 +100,3 @@ def exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
-
-def spread(scan: DataFrame) -> DataFrame:
-    """A plain file scan over all cores, also when it comes in too few pieces.
-
-    Inputs of any size worth distributing have more pieces than there are cores
-    and pass unchanged.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

@@ -49,15 +49,27 @@ def _typed(raw: dict[str, Column], mapping: PathMapping, corrupt: Column) -> lis
 
 
 def parse_json(
-    reader: DataFrameReader | DataStreamReader, paths: str | list[str], mapping: PathMapping
+    reader: DataFrameReader | DataStreamReader | None,
+    paths: str | list[str],
+    mapping: PathMapping,
+    by_name: bool = False,
+    spark: SparkSession | None = None,
 ) -> DataFrame:
     """All records of the files: mapped columns, rejection flag, raw bad text.
 
-    ``reader`` is ``spark.read`` or ``spark.readStream``. Scalars are read as
+    ``reader`` is ``spark.read`` or ``spark.readStream``; without one the result is empty. Scalars are read as
     text and converted afterwards, because the reader's own INT turns a quoted
-    number into NULL and calls the whole record corrupt.
+    number into NULL and calls the whole record corrupt. ``by_name`` takes the keys
+    that are named like the columns, instead of the mapping's paths.
     """
+    if by_name:
+        mapping = named_like_columns(mapping)
     keys = mapping.top_level_keys()
+    if reader is None:
+        schema = "".join(f"`{path}` string, " for path in mapping.paths) + f"{CORRUPT} string"
+        none = spark.createDataFrame([], schema)
+        raw = {path: F.col(f"`{path}`") for path in mapping.paths}
+        return none.select(*_typed(raw, mapping, F.col(CORRUPT).isNotNull()), CORRUPT)
     reader = reader.option("recursiveFileLookup", True)
     if keys is None:
         lines = reader.text(paths).where(F.trim("value") != "")
@@ -72,6 +84,11 @@ def parse_json(
     return records.select(*_typed(raw, mapping, F.col(CORRUPT).isNotNull()), CORRUPT)
 
 
+def named_like_columns(mapping: PathMapping) -> PathMapping:
+    """The mapping of records whose keys are the column names."""
+    return PathMapping(mapping.table, tuple(f"$['{field.name}']" for _, field in mapping.columns()))
+
+
 def match_by_name(text: Column, mapping: PathMapping) -> Column:
     """JSON text as a struct whose fields are found by column name."""
     fields = [StructField(field.name, StringType()) for _, field in mapping.columns()]
@@ -92,10 +109,15 @@ def accept(staged: DataFrame, table: str, max_errors: int) -> Loaded:
 
 
 def load_json(
-    spark: SparkSession, paths: str | list[str], mapping: PathMapping, target: str, max_errors: int = 1
+    spark: SparkSession,
+    paths: str | list[str],
+    mapping: PathMapping,
+    target: str,
+    max_errors: int = 1,
+    by_name: bool = False,
 ) -> Loaded:
     """Stage JSON files as Parquet in the folder ``target``; the default tolerates no bad record."""
-    return accept(store(parse_json(spark.read, paths, mapping), target), mapping.table, max_errors)
+    return accept(store(parse_json(spark.read, paths, mapping, by_name), target), mapping.table, max_errors)
 
 
 class ErrorBudget:

@@ -1,20 +1,21 @@
-"""New files as a stream: the checkpoint remembers what has been read.
+"""New files as a stream: the checkpoint remembers what has been read, so nothing is subtracted.
 
-The form to use when files are too many to be listed and subtracted each time.
+The driver still lists the source and keeps the names it has seen.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.query import StreamingQuery
 
 from playstar.plans.incremental import IncrementalStaging
 from playstar.schemas import PathMapping
-from playstar.session import store
 from playstar.sources.json_files import parse_json
 from playstar.sources.manifest import MAX_ENTRIES
 
+# Files count as new by their names alone, however old they are.
+NO_AGE_LIMIT = "100000d"
+
 
 def stream_new_files(
     spark: SparkSession,
@@ -23,24 +24,27 @@ def stream_new_files(
     root: str,
     max_errors: int = 1,
     max_files: int = MAX_ENTRIES,
-) -> StreamingQuery:
-    """Start loading all files below ``source`` that are new since the last run, then stop.
+) -> int:
+    """Load all files below ``source`` that are new since the last run; returns the number of loads.
 
     A micro-batch overwrites the folder of its own number, so one that is
-    repeated after a failure is stored once. Its error budget is checked before
-    the ledger names it. Use one root for either this form or the batch form.
+    repeated after a failure is stored once. The error budget holds for the whole run: all its
+    loads enter the ledger at its end, or none. Loads that were staged by a run
+    that died or was rejected are pending: they count in the next run, which commits them if the budget then allows.
+    Use one root for either this form or the batch form.
     """
     staging = IncrementalStaging(spark, root)
 
     def write(rows: DataFrame, batch: int) -> None:
-        staged = store(rows, f"{staging.folder(mapping.table)}/load_batch={batch}")
-        staging.accept_batch(staged, mapping, batch, max_errors)
+        rows.write.mode("overwrite").parquet(f"{staging.folder(mapping.table)}/load_batch={batch}")
 
-    reader = spark.readStream.option("maxFilesPerTrigger", max_files)
+    reader = spark.readStream.option("maxFilesPerTrigger", max_files).option("maxFileAge", NO_AGE_LIMIT)
     parsed = parse_json(reader, source, mapping).withColumn("_file", F.col("_metadata.file_path"))
-    return (
+    query = (
         parsed.writeStream.foreachBatch(write)
         .option("checkpointLocation", f"{root}/checkpoints/{mapping.table}")
         .trigger(availableNow=True)
         .start()
     )
+    query.awaitTermination()
+    return staging.commit_pending(mapping, max_errors)

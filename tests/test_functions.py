@@ -57,6 +57,10 @@ def test_keys_do_not_depend_on_the_session_zone(spark, zone):
         (" 8 ", IntegerType(), 8),
         ("", IntegerType(), None),
         ("abc", IntegerType(), None),
+        ("1999.9", IntegerType(), None),
+        ("0.0000001", LongType(), None),
+        ("2001.0", IntegerType(), 2001),
+        ("-7", LongType(), -7),
         ("99999999999", IntegerType(), None),
         ("1540919166796.0", LongType(), 1540919166796),
         ("9223372036854775807", LongType(), 9223372036854775807),

@@ -1,9 +1,9 @@
 """Tables of a database, full refresh, incremental loads."""
 
+import os
 import uuid
 
 import pytest
-from pyspark.errors import StreamingQueryException
 
 from playstar.__main__ import main
 from playstar.plans import lifecycle
@@ -123,7 +123,7 @@ def test_incremental_loads_and_one_full_load_end_in_the_same_star(spark, db, inp
 
 def test_stream_takes_only_new_files(spark, tmp_path, folder):
     staging = IncrementalStaging(spark, folder("root"))
-    run = lambda **k: stream_new_files(spark, folder("log"), LOG_MAPPING, folder("root"), **k).awaitTermination()
+    run = lambda **k: stream_new_files(spark, folder("log"), LOG_MAPPING, folder("root"), **k)
     items = lambda: sorted(r.itemInSession for r in staging.rows("staging_song_log").collect())
     for i in range(3):
         write_lines(tmp_path / "log" / f"{i}.json", [play(itemInSession=i)])
@@ -133,13 +133,38 @@ def test_stream_takes_only_new_files(spark, tmp_path, folder):
     run()
     assert items() == [0, 1, 2]
     write_lines(tmp_path / "log" / "late.json", [play(itemInSession=9), "bad"])
-    with pytest.raises(StreamingQueryException):
+    with pytest.raises(TooManyErrors):
         run()
     assert items() == [0, 1, 2]
     run(max_errors=2)
     assert items() == [0, 1, 2, 9]
 
 
+@pytest.mark.parametrize("form", ["batch", "stream"])
+@pytest.mark.parametrize("max_files", [1, 10])
+def test_late_files_and_budget_do_not_depend_on_the_number_of_loads(spark, tmp_path, folder, form, max_files):
+    staging = IncrementalStaging(spark, folder("root"))
+
+    def run(max_errors):
+        if form == "batch":
+            return staging.load_new(folder("log"), LOG_MAPPING, max_errors=max_errors, max_files=max_files)
+        return stream_new_files(spark, folder("log"), LOG_MAPPING, folder("root"), max_errors=max_errors, max_files=max_files)
+
+    items = lambda: sorted(r.itemInSession for r in staging.rows("staging_song_log").collect())
+    write_lines(tmp_path / "log" / "0.json", [play(itemInSession=0)])
+    run(1)
+    for i in range(1, 5):
+        path = tmp_path / "log" / f"{i}.json"
+        write_lines(path, [play(itemInSession=i), "bad"])
+        old = path.stat().st_mtime - 10 * 86400
+        os.utime(path, (old, old))
+    with pytest.raises(TooManyErrors):
+        run(4)
+    assert items() == [0]
+    run(5)
+    assert items() == [0, 1, 2, 3, 4]
+
+
 def test_command_line(spark, inputs, folder, capsys):
     log, songs = inputs
     name = f"t_{uuid.uuid4().hex}"

@@ -69,7 +69,7 @@ def test_hot_users_and_songs_are_split(skewed, conf):
     conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "1.5")
     conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100KB")
     conf("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
-    plays = star.songplay_rows(*skewed, broadcast_rows=0)
+    plays = star.songplay_rows(*skewed)
     plan = executed(plays)
     final = plan[: plan.index("Initial Plan")]
     assert final.count("SortMergeJoin(skew=true)") == 2
@@ -82,7 +82,7 @@ def test_hot_users_and_songs_are_split(skewed, conf):
 
 def test_distinct_reuses_the_partitioning_of_the_user_join(skewed, conf):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
-    plan = planned(star.songplay_rows(*skewed, broadcast_rows=0))
+    plan = planned(star.songplay_rows(*skewed))
     above_user_join = plan[: plan.index("SortMergeJoin")]
     assert "HashAggregate" in above_user_join and "Exchange" not in above_user_join
 

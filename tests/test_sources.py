@@ -7,6 +7,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from playstar.schemas import LOG_MAPPING, SONG_MAPPING, PathMapping
+from playstar.sources.csv_files import read_csv, write_csv
 from playstar.sources.json_files import (
     ErrorBudget,
     TooManyErrors,
@@ -16,8 +17,8 @@ from playstar.sources.json_files import (
     read_mapping,
 )
 from playstar.sources.ledger import LoadLedger, committed_files
-from playstar.sources.listing import list_files
-from playstar.sources.manifest import read_manifest, write_manifest
+from playstar.sources.listing import HiddenFiles, list_files
+from playstar.sources.manifest import generate_manifest, load_manifest, read_manifest, write_manifest
 from tests.samples import SONGS, play, write_lines
 
 
@@ -146,11 +147,76 @@ def test_committed_files_match_like_a_pattern(spark):
 def test_ledger(spark, folder):
     ledger = LoadLedger(spark, folder("ledger"))
     assert ledger.next_batch("t") == 0
-    files = spark.createDataFrame([("a",), ("b",)], "filename string")
-    ledger.commit(files, "t", 0)
-    ledger.commit(files, "t", 0)
-    ledger.commit(files.limit(1), "u", 4)
+    files = spark.createDataFrame([("a", 0), ("b", 1)], "filename string, load_batch bigint")
+    ledger.commit(files, "t")
+    ledger.commit(files.select("filename", (F.col("load_batch") + 4).alias("load_batch")), "u")
     assert sorted((r.table_name, r.load_batch, r.filename) for r in ledger.entries().collect()) == [
-        ("t", 0, "a"), ("t", 0, "b"), ("u", 4, "a"),
+        ("t", 0, "a"), ("t", 1, "b"), ("u", 4, "a"), ("u", 5, "b"),
     ]
-    assert (ledger.next_batch("t"), ledger.next_batch("u")) == (1, 5)
+    assert (ledger.next_batch("t"), ledger.next_batch("u")) == (2, 6)
+
+
+def test_keys_are_relative_to_the_root(spark, tmp_path):
+    """Also where the root's own name comes again below it."""
+    root = tmp_path / "logs"
+    for name in ("2018/logs/c.json", "2018/a b.json", "2019/x.json"):
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_text("{}")
+    keys = lambda prefix: sorted(r.key for r in list_files(spark, str(root), prefix).collect())
+    assert keys("") == ["2018/a b.json", "2018/logs/c.json", "2019/x.json"]
+    assert keys("2018/lo") == ["2018/logs/c.json"] and keys("2018/") == ["2018/a b.json", "2018/logs/c.json"]
+    assert keys("2020/") == []
+    assert [r.key for r in list_files(spark, f"file:{root}", "2019").collect()] == ["2019/x.json"]
+
+
+def test_hidden_names_are_refused(spark, tmp_path):
+    (tmp_path / "in" / "2018").mkdir(parents=True)
+    for name in ("a.json", "_SUCCESS", ".a.json.crc"):
+        (tmp_path / "in" / name).write_text("{}")
+    assert list_files(spark, str(tmp_path / "in")).count() == 1
+    (tmp_path / "in" / "2018" / "_x.json").write_text("{}")
+    with pytest.raises(HiddenFiles, match="_x.json"):
+        list_files(spark, str(tmp_path / "in"))
+
+
+def test_csv_keeps_quotes_breaks_and_blanks(spark, folder):
+    rows = [('say "hi"', 1), ("two\nlines\r\n, and, commas", 2), ("", 3), (None, 4), ("  ends  ", 5), ("back\\slash\\", 6)]
+    df = spark.createDataFrame(rows, "t string, n int")
+    write_csv(df, folder("csv"))
+    assert sorted(map(tuple, read_csv(spark, folder("csv"), df.schema, line_breaks=True).collect()), key=lambda r: r[1]) == rows
+
+
+def test_optional_entries_may_be_missing(spark, tmp_path, folder):
+    (tmp_path / "a.json").write_text('{"num_songs": 1, "song_id": "s"}')
+    manifest = tmp_path / "m.json"
+    entries = [{"url": str(tmp_path / "a.json"), "mandatory": True}, {"url": str(tmp_path / "gone.json"), "mandatory": False}]
+    manifest.write_text(json.dumps({"entries": entries}))
+    loaded = load_manifest(spark, str(manifest), SONG_MAPPING, folder("staged"))
+    assert [r.song_id for r in loaded.rows.collect()] == ["s"]
+    manifest.write_text(json.dumps({"entries": [{"url": str(tmp_path / "gone.json"), "mandatory": True}]}))
+    with pytest.raises(Exception, match="gone.json"):
+        load_manifest(spark, str(manifest), SONG_MAPPING, folder("staged"))
+
+
+def test_manifest_parts_share_one_budget(spark, tmp_path, folder):
+    names = []
+    for i in range(3):
+        (tmp_path / f"{i}.json").write_text('{"song_id": "s%d"}\nbroken' % i)
+        names.append(str(tmp_path / f"{i}.json"))
+    write_manifest(spark.createDataFrame([(n,) for n in names], "url string"), "url", folder("m"), max_entries=1)
+    assert load_manifest(spark, folder("m"), SONG_MAPPING, folder("s"), max_errors=4).rows.count() == 3
+    with pytest.raises(TooManyErrors):
+        load_manifest(spark, folder("m"), SONG_MAPPING, folder("s2"), max_errors=3)
+
+
+def test_generate_manifest(spark, tmp_path, folder):
+    for name in ("log/a.json", "log/b.json", "log/c.json", "song/d.json"):
+        (tmp_path / "in" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / name).write_text("{}")
+    none = spark.createDataFrame([], "filename string")
+    urls = lambda *a: [r.url.rsplit("/", 1)[1] for r in generate_manifest(spark, str(tmp_path / "in"), "log/", *a).orderBy("url").collect()]
+    assert urls(none, folder("m1")) == ["a.json", "b.json", "c.json"]
+    done = spark.createDataFrame([(f"file:{tmp_path}/in/log/a.json",)], "filename string")
+    assert urls(done, folder("m2")) == ["b.json", "c.json"]
+    assert urls(done, folder("m3"), 2) == ["b.json"]
+    assert urls(spark.createDataFrame([(f"file:{tmp_path}/in/log/{c}.json",) for c in "abc"], "filename string"), folder("m4")) == []
