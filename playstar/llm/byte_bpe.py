@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 
 from playstar.llm.common import session_of, slices, vocabulary
 
-#: Words, and runs of text between single spaces, that a Python worker remembers.
-WORDS_KEPT = 400_000
+#: Runs of text between single spaces that a Python worker remembers.
+RUNS_KEPT = 700_000
+#: Below it, a letter to Python is a letter to any pattern, whatever their Unicode versions.
+LATIN_END = "\u0250"
 #: Words of more bytes are merged with a heap, whose cost does not grow with the square.
 LONG_WORD = 64
 
@@ -33,18 +35,17 @@ def merge_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
         return [whole]
     if len(word) > LONG_WORD:
         return _merge_long(word, ranks)
-    none = len(ranks) + 1
-    parts = [word[i : i + 1] for i in range(len(word))]
-    pairs = [ranks.get(word[i : i + 2], none) for i in range(len(word) - 1)]
+    none, rank = len(ranks) + 1, ranks.get
+    starts = list(range(len(word) + 1))
+    pairs = [rank(word[i : i + 2], none) for i in range(len(word) - 1)]
     while pairs and (low := min(pairs)) < none:
         i = pairs.index(low)
-        parts[i] += parts[i + 1]
-        del parts[i + 1], pairs[i]
+        del starts[i + 1], pairs[i]
         if i:
-            pairs[i - 1] = ranks.get(parts[i - 1] + parts[i], none)
+            pairs[i - 1] = rank(word[starts[i - 1] : starts[i + 1]], none)
         if i < len(pairs):
-            pairs[i] = ranks.get(parts[i] + parts[i + 1], none)
-    return [ranks[part] for part in parts]
+            pairs[i] = rank(word[starts[i] : starts[i + 2]], none)
+    return [ranks[word[a:b]] for a, b in zip(starts, starts[1:], strict=False)]
 
 
 def _merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -85,26 +86,29 @@ class Encoder(dict):
         super().__init__()
         self.ranks = ranks
         self.matches = regex.compile(pattern).findall
-        self.words: dict[str, bytes] = {}
+        self.points = {point: self.word(point) for point in ".,"}
 
     def word(self, word: str) -> bytes:
-        ids = self.words.get(word)
-        if ids is None:
-            if len(self.words) > WORDS_KEPT:
-                self.words.clear()
-            ids = self.words[word] = np.array(merge_word(word.encode(), self.ranks), "<u4").tobytes()
-        return ids
+        return np.array(merge_word(word.encode(), self.ranks), "<u4").tobytes()
 
     def stretch(self, text: str) -> bytes:
         return b"".join(map(self.word, self.matches(text)))
 
     def __missing__(self, run: str) -> bytes | None:
-        plain = run and not run[0].isspace() and not run[-1].isspace()
-        ids = self[run] = self.stretch(" " + run) if plain else None
+        # Letters alone are one match, a point behind them is another.
+        if run.isalpha() and max(run) < LATIN_END:
+            ids = self.word(" " + run)
+        elif run[:-1].isalpha() and run[-1] in self.points and max(run) < LATIN_END:
+            ids = self[run[:-1]] + self.points[run[-1]]
+        elif run and not run[0].isspace() and not run[-1].isspace():
+            ids = self.stretch(" " + run)
+        else:
+            ids = None
+        self[run] = ids
         return ids
 
     def of(self, text: str) -> bytes:
-        if len(self) > WORDS_KEPT:
+        if len(self) > RUNS_KEPT:
             self.clear()
         first, *rest = text.split(" ")
         if rest and (not first or first[-1].isspace()):
@@ -142,7 +146,7 @@ def encode(
     """``doc_id`` and ``ids`` (array<int>) of every row.
 
     The text is split into words by ``pattern`` and the bytes of each distinct word are merged by rank, whole
-    texts, without special tokens. Words seen before are looked up, so the fold runs about once
+    texts, without special tokens. What has been seen before is looked up, so the fold runs about once
     for each distinct word of a Python worker; what it remembers is bounded.
     No shuffle: the cost of a row does not depend on other rows.
 
@@ -178,7 +182,9 @@ def decode(encoded: DataFrame, ranks_path: str | None = None, ids: str = "ids",
     @F.arrow_udf("binary")
     def joined(lists: pa.Array) -> pa.Array:
         piece = worker_pieces(path).__getitem__
-        out = [None if x.as_py() is None else b"".join(map(piece, x.values.to_pylist())) for x in lists]
-        return pa.array(out, pa.binary())
+        ends, given = lists.offsets.to_pylist(), lists.is_valid().to_pylist()
+        values = lists.values.to_numpy()
+        spans = zip(ends, ends[1:], given, strict=False)
+        return pa.array([b"".join(map(piece, values[a:b].tolist())) if there else None for a, b, there in spans], pa.binary())
 
     return encoded.withColumn(to, joined(F.col(ids)))
