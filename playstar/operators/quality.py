@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -28,11 +29,11 @@ def null_profile(df: DataFrame) -> DataFrame:
     return counts.unpivot([], df.columns, "column_name", "null_count")
 
 
-def pk_duplicates(tables: dict[str, DataFrame]) -> DataFrame:
+def pk_duplicates(tables: dict[str, DataFrame], key_of: Callable[[str], str] = PRIMARY_KEYS.__getitem__) -> DataFrame:
     """(table_name, duplicate_keys): key values that occur more than once."""
     reports = []
     for name, df in tables.items():
-        repeated = df.groupBy(PRIMARY_KEYS[name]).count().where("count > 1")
+        repeated = df.groupBy(key_of(name)).count().where("count > 1")
         reports.append(
             repeated.agg(F.count(F.lit(1)).alias("duplicate_keys")).select(F.lit(name).alias("table_name"), "duplicate_keys")
         )

@@ -316,7 +316,20 @@ def oracle_statements() -> dict[str, str]:
                         AND NOT EXISTS (SELECT 1 FROM ({known}) AS k WHERE k.key = u.key)) AS orphan_rows"""
             for child, column, used, known in _LINKS
         ),
-        "pk_duplicates": "SELECT table_name, 0 AS duplicate_keys FROM sizes",
+        "pk_duplicates": """
+            SELECT table_name, 0 AS duplicate_keys FROM sizes
+            UNION ALL
+            SELECT 'dim_user by user_id', count(*) FROM (SELECT user_id FROM dim_user GROUP BY user_id HAVING count(*) > 1)
+            UNION ALL
+            SELECT 'staging_song_log by sessionId', count(*)
+            FROM (SELECT "sessionId" FROM song_log GROUP BY "sessionId" HAVING count(*) > 1)""",
+        "incremental_star": """
+            SELECT fact.* EXCLUDE (user_key, artist_key, song_key), us.* EXCLUDE (user_key), ar.* EXCLUDE (artist_key),
+                   so.song_id, so.song_title, so.song_year
+            FROM fact
+            LEFT JOIN dim_user AS us ON us.user_key = fact.user_key
+            LEFT JOIN dim_artist AS ar ON ar.artist_key = fact.artist_key
+            LEFT JOIN dim_song AS so ON so.song_key = fact.song_key""",
         "load_timing": "SELECT query, processed_files, avg_time_per_file FROM timing",
         "load_timing_of_one": f"""
             SELECT count(*) AS processed_files,

@@ -14,9 +14,10 @@ from playstar.operators import quality
 from playstar.operators.windows import previous_in_group
 from playstar.plans import analytics, lifecycle, star
 from playstar.plans.calendar import dim_date, dim_time
+from playstar.plans.extend import extend_star
 from playstar.plans.incremental import IncrementalStaging, new_files
 from playstar.plans.warehouse import build_warehouse, warehouse
-from playstar.schemas import LOG_MAPPING, SONG_MAPPING, natural_columns
+from playstar.schemas import LOG_MAPPING, PRIMARY_KEYS, SONG_MAPPING, natural_columns
 from playstar.session import apply_settings, new_folder, store
 from playstar.sources import testbed
 from playstar.sources.csv_files import read_csv, write_csv
@@ -339,7 +340,15 @@ def fk_orphans(spark, sf_dir):
 
 @query
 def pk_duplicates(spark, sf_dir):
-    return quality.pk_duplicates(warehouse(spark, sf_dir))
+    """All tables under their keys, and users and log records under ids that repeat."""
+    tables = warehouse(spark, sf_dir)
+    by_id = {
+        "dim_user by user_id": tables["dim_user"].select(F.col("user_id").alias("user_key")),
+        "staging_song_log by sessionId": tables["staging_song_log"].select(F.col("sessionId").alias("song_log_id")),
+    }
+    return quality.pk_duplicates(tables).unionByName(
+        quality.pk_duplicates(by_id, lambda name: PRIMARY_KEYS[name.split(" ")[0]])
+    )
 
 
 @query
@@ -443,6 +452,27 @@ def incremental_stream(spark, sf_dir):
     return _per_load(IncrementalStaging(spark, root))
 
 
+@query
+def incremental_star(spark, sf_dir):
+    """The star in two waves of plays and songs; plays with what they refer to, without keys.
+
+    Many plays of the first wave refer to songs, artists and user rows of the second.
+    """
+    sink = star.parquet_sink(new_folder(spark, "waves"))
+    first_play = (F.col("ts") / 1000).cast("bigint") % 2 == 0
+    first_song = F.crc32(F.col("song_id").cast("binary")) % 3 > 0
+    log = sink("log", star.stage(testbed.song_log(spark, sf_dir), "staging_song_log"))
+    songs = sink("songs", star.stage(testbed.song_data(spark, sf_dir), "staging_song_data"))
+    logs, catalogues = (log.where(first_play), log.where(~first_play)), (songs.where(first_song), songs.where(~first_song))
+    known = star.build_star(logs[0], catalogues[0], sink)
+    tables = extend_star(known, *logs, *catalogues, sink).tables
+    plays = tables["fact_songplay"]
+    for name, key in (("dim_user", "user_key"), ("dim_artist", "artist_key")):
+        plays = plays.join(tables[name], key, "left")
+    plays = plays.join(tables["dim_song"].select("song_key", "song_id", "song_title", "song_year"), "song_key", "left")
+    return plays.drop("songplay_key", "user_key", "artist_key", "song_key")
+
+
 @query
 def incremental_errors(spark, sf_dir):
     """Broken records spread over several manifests, counted against one budget for the run.

@@ -76,10 +76,22 @@ def new_folder(spark: SparkSession, label: str) -> str:
 def clear_scratch(spark: SparkSession) -> None:
     """Delete what this application has put below the shared folder. Frames that
     have not been written elsewhere are lost."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(_scratch(spark))
+    delete(spark, _scratch(spark))
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all that is in it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    return [status.getPath().getName() for status in found if status.isDirectory()]
+
+
 def store(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` as Parquet and return a frame that reads it back.
 

@@ -4,13 +4,16 @@ import os
 import uuid
 
 import pytest
+from pyspark.sql import functions as F
 
 from playstar.__main__ import main
-from playstar.plans import lifecycle
+from playstar.plans import lifecycle, star
+from playstar.plans.extend import extend_star
 from playstar.plans.incremental import IncrementalStaging, new_files
 from playstar.plans.report import report
 from playstar.schemas import LOG_MAPPING, SONG_MAPPING, STAGING_TABLES, STAR_TABLES, natural_columns
-from playstar.sources.json_files import TooManyErrors
+from playstar.session import child_folders
+from playstar.sources.json_files import TooManyErrors, parse_json
 from playstar.streaming.file_stream import stream_new_files
 from tests.samples import SONGS, play, write_lines
 
@@ -177,3 +180,62 @@ def test_command_line(spark, inputs, folder, capsys):
     spark.sql(f"DROP DATABASE {name} CASCADE")
     with pytest.raises(SystemExit):
         main(["etl"])
+
+
+def test_readers_find_every_table_in_the_middle_of_a_refresh(spark, db, inputs, monkeypatch):
+    log, songs = inputs
+    lifecycle.refresh_from_files(spark, db, log, songs)
+    reading = spark.table(f"{db}.fact_songplay")
+    before = content(spark, db)
+    seen = []
+
+    def look(*frames):
+        seen.append(content(spark, db))
+        return build(*frames)
+
+    build = lifecycle.build_star
+    monkeypatch.setattr(lifecycle, "build_star", look)
+    lifecycle.refresh_from_files(spark, db, log, songs)
+    assert seen == [before] and content(spark, db) == before
+    # The version before is still there for a reader that has begun with it.
+    assert reading.count() == spark.table(f"{db}.fact_songplay").count()
+    (home,) = spark.sql(f"DESCRIBE DATABASE {db}").where("info_name = 'Location'").select("info_value").first()
+    lifecycle.refresh_from_files(spark, db, log, songs)
+    assert len(child_folders(spark, f"{home}/versions")) == 2
+    assert not [t.name for t in spark.catalog.listTables(db) if "__" in t.name]
+
+
+def test_a_refresh_that_fails_leaves_the_tables(spark, db, inputs, monkeypatch):
+    lifecycle.refresh_from_files(spark, db, *inputs)
+    before = content(spark, db)
+    monkeypatch.setattr(lifecycle, "build_star", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        lifecycle.refresh_from_files(spark, db, *inputs)
+    assert content(spark, db) == before
+
+
+def test_growing_a_star_keeps_keys_and_resolves_earlier_plays(spark, tmp_path, folder):
+    sink = star.parquet_sink(folder("star"))
+    write_lines(tmp_path / "songs.json", SONGS)
+    songs = sink("songs", star.stage(parse_json(spark.read, str(tmp_path / "songs.json"), SONG_MAPPING), "staging_song_data"))
+    plays = [play(artist=s["artist_name"], song=s["title"], itemInSession=i) for i, s in enumerate(SONGS)]
+    write_lines(tmp_path / "log.json", [*plays, *(play(itemInSession=50 + i) for i in range(3)), play(itemInSession=50, level="paid")])
+    log = sink("log", star.stage(parse_json(spark.read, str(tmp_path / "log.json"), LOG_MAPPING), "staging_song_log"))
+    names = sorted({s["artist_name"] for s in SONGS if s["artist_name"]})
+    early = F.col("artist_name") <= names[0]
+    old_songs, new_songs = songs.where(early), songs.where(~early)
+    old_log, new_log = log.where("itemInSession % 2 = 0"), log.where("itemInSession % 2 = 1")
+    known = star.build_star(old_log, old_songs, sink)
+    grown = extend_star(known, old_log, new_log, old_songs, new_songs, star.parquet_sink(folder("grown")))
+    full = star.build_star(log, songs, star.parquet_sink(folder("full")))
+
+    def facts(tables):
+        rows = tables["fact_songplay"].join(tables["dim_user"], "user_key", "left").join(tables["dim_artist"], "artist_key", "left")
+        rows = rows.join(tables["dim_song"].select("song_key", "song_id"), "song_key", "left")
+        return sorted(map(str, rows.drop("songplay_key", "user_key", "artist_key", "song_key").collect()))
+
+    assert facts(grown.tables) == facts(full)
+    for table in ("dim_user", "dim_artist", "dim_song"):
+        assert set(map(tuple, known[table].collect())) <= set(map(tuple, grown.tables[table].collect()))
+    keys = [r.songplay_key for r in grown.tables["fact_songplay"].collect()]
+    assert len(keys) == len(set(keys))
