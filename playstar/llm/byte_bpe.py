@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from playstar.llm.common import session_of, slices, vocabulary
 
 #: Runs of text between single spaces that a Python worker remembers.
-RUNS_KEPT = 700_000
+RUNS_KEPT = 600_000
 #: Below it, a letter to Python is a letter to any pattern, whatever their Unicode versions.
 LATIN_END = "\u0250"
 #: Words of more bytes are merged with a heap, whose cost does not grow with the square.

@@ -151,7 +151,7 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     return fit([r["text"] for r in rows], [r["toxic"] for r in rows])
 
 
-RESULT = "score double, sentences array<struct<start: int, stop: int, score: double>>"
+FOUND = "struct<score: double, sentences: array<struct<start: int, stop: int, score: double>>>"
 
 
 def toxicity(text: Column, model: Model, least: float = 0.5) -> Column:
@@ -160,7 +160,7 @@ def toxicity(text: Column, model: Model, least: float = 0.5) -> Column:
     Whole texts. Null and empty texts have no sentences and score 0.
     """
 
-    @F.arrow_udf(RESULT.replace("score double, ", "struct<score: double, ", 1).replace("sentences array", "sentences: array") + ">")
+    @F.arrow_udf(FOUND)
     def scored(texts: pa.Array) -> pa.Array:
         scorer = Scorer(model)
         rows = [scorer.document(t.as_py() or "", least) for t in texts]
