@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -28,7 +30,9 @@ def session_of(df: DataFrame) -> SparkSession:
     app = spark.sparkContext.applicationId
     if app not in _shipped:
         package = Path(__file__).parent.parent
-        target = os.path.join(tempfile.mkdtemp(prefix="playstar-"), "playstar.zip")
+        folder = tempfile.mkdtemp(prefix="playstar-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        target = os.path.join(folder, "playstar.zip")
         with zipfile.ZipFile(target, "w") as archive:
             for source in sorted(package.rglob("*.py")):
                 archive.write(source, source.relative_to(package.parent))
