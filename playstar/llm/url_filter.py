@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from playstar.llm.common import session_of
 
-#: Urls from which the borders of the ranges are taken. Borders balance the work; they change no result.
+#: Urls, on average, from which the borders of the ranges are taken. Borders balance the work; they change no result.
 SAMPLE_URLS = 8_000
 RANGES_PER_PARTITION = 8
 #: After every key that begins with the same text.
@@ -84,7 +84,9 @@ def judge(
     pages = urls.select(F.col(page_id).cast("long").alias("page_id"), host_of(link).alias("host"), path_of(link).alias("path"))
     pages = pages.withColumn("key", canonical_key(F.col("host")))
     salt = F.coalesce(F.xxhash64("page_id"), F.lit(0))
-    sample = pages.select("key", "path", salt.alias("salt")).orderBy("salt", "key", "path").limit(SAMPLE_URLS).collect()
+    # Drawn by share, so that each task sends its part only; the draw decides how even the ranges are, and no result.
+    share = min(1.0, SAMPLE_URLS / max(1, urls.count()))
+    sample = pages.select("key", "path", salt.alias("salt")).sample(share, seed=1).collect()
     places = sorted(tuple(row) for row in sample)
     ranges = RANGES_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
     borders = sorted({places[len(places) * i // ranges] for i in range(1, ranges)}) if places else []
