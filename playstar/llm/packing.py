@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +28,8 @@ class WordIds(dict):
 
     Works for a BPE file of the tokenizers library that splits text at white space and
     drops it: words are then independent. The library normalizes and merges;
-    what is kept are the ids of words seen before.
+    what is kept are the ids of words seen before. Added tokens of the file are found in the raw text
+    first, the longest of those at the leftmost place, and what is between them is encoded by itself, as the library does.
     """
 
     def __init__(self, path: str):
@@ -43,6 +45,11 @@ class WordIds(dict):
         self.pre_tokenize = self.tokenizer.pre_tokenizer.pre_tokenize_str
         self.model = self.tokenizer.model
         self.simple: dict[str, bytes] = {}
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.added = {token.content: np.array([i], "<u4").tobytes() for i, token in added.items()}
+        self.cut = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))) if added else None
+        # Tokens that take the space beside them, stand as words or are sought in normalized text are left to the library.
+        self.by_library = any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added.values())
 
     def merged(self, part: str) -> bytes:
         found = self.simple.get(part)
@@ -67,6 +74,17 @@ class WordIds(dict):
         if len(self) > WORDS_KEPT:
             self.clear()
             self.simple.clear()
+        if self.by_library:
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        if any(token in text for token in self.added):
+            parts, at = [], 0
+            for match in self.cut.finditer(text):
+                parts += self.words(text[at : match.start()]), self.added[match.group()]
+                at = match.end()
+            return b"".join([*parts, self.words(text[at:])])
+        return self.words(text)
+
+    def words(self, text: str) -> bytes:
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
@@ -155,8 +173,8 @@ def pack(
 ) -> DataFrame:
     """Pieces of documents in sequences of at most ``size`` tokens.
 
-    A document is the ids of its text by the tokenizer file (whole text, no special
-    tokens) and ``end_id``. Columns: ``doc_id``, ``start`` (ids of the document before the piece),
+    A document is the ids of its text by the tokenizer file (whole text; no special tokens are
+    put around it, those spelled out in it are found) and ``end_id``. Columns: ``doc_id``, ``start`` (ids of the document before the piece),
     ``length``, ``ids`` (binary, little-endian 32-bit), ``doc_tokens`` (of the document, with ``end_id``),
     ``sequence_id`` and ``offset`` (in the sequence, gapless from 0). Every id lies in one piece.
 

@@ -1,8 +1,10 @@
 """Operators on texts against plain versions and the libraries."""
 
 import hashlib
+import json
 import re
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -101,6 +103,25 @@ def test_packing_is_exact_and_tight(spark, given):
         assert {p.doc_tokens for p in parts} == {len(ids)}
 
 
+@pytest.mark.parametrize("flags", [None, {"lstrip": True}, {"normalized": True}])
+def test_added_tokens_inside_a_text(spark, tmp_path, flags):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    if flags:
+        file = json.loads(Path(path).read_text())
+        file["added_tokens"][1].update(flags)
+        path = str(tmp_path / "flags.json")
+        Path(path).write_text(json.dumps(file))
+    library = Tokenizer.from_file(path)
+    end, start = "<|endoftext|>", "<|startoftext|>"
+    texts = [f"a {end} b", f"a{end}b", end, f"{start}{end}{end}", f" \n{start}\n x.{end}", f"e{end}\u0301 e\u0301", "<|endoftext", f"a {end.upper()}", f"<|{end}|> it{start}'s"]
+    found = packing.pack(documents(spark, list(enumerate(texts))), path, size=64).collect()
+    for i, text in enumerate(texts):
+        parts = sorted((p for p in found if p.doc_id == i), key=lambda p: p.start)
+        want = [*library.encode(text, add_special_tokens=False).ids, 2]
+        assert np.frombuffer(b"".join(p.ids for p in parts), "<u4").tolist() == want
+        assert {p.doc_tokens for p in parts} == {len(want)}
+
+
 def test_packer_takes_the_level_with_the_least_sum_of_squares():
     rng = np.random.default_rng(1)
     packer, size = packing.Packer(16, 0), 16
