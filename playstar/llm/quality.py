@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import operator
 import zlib
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -12,10 +13,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playstar.llm.common import session_of
+from playstar.session import new_folder, store
 
-#: Bounds of the sample that the classifiers are fitted on: labelled documents, and others for pseudo-labels.
+#: Bound of the sample of labelled documents that the classifiers are fitted on. Pseudo-labels are sought in all other rows.
 SAMPLE_LABELLED = 4000
-SAMPLE_POOL = 4000
 #: Rounds in which each classifier labels documents for the other one, and how sure it has to be.
 ROUNDS = 3
 SURE = 0.97
@@ -152,11 +153,48 @@ def _view(rows: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> View:
     return View(mean, scale, logistic(np.clip((rows - mean) / scale, -4, 4), labels, weight, ridge=1.0))
 
 
-def cotrain(text: np.ndarray, page: np.ndarray, labels: np.ndarray) -> Model:
+@dataclass
+class Given:
+    """Pseudo-labels of a round by one view: keys of rows, labels, and what the other view sees of them."""
+
+    keys: np.ndarray
+    kinds: np.ndarray
+    rows: np.ndarray
+
+
+#: From both views and the keys each has labelled before, the rows each is surest of now.
+Surest = Callable[[list[View], list[np.ndarray]], list[Given]]
+
+
+def best(sure: np.ndarray, ids: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Places of the GIVEN rows at most of SURE or more, the surest first; ties by id, then key."""
+    enough = np.flatnonzero(sure >= SURE)
+    return enough[np.lexsort((keys[enough], ids[enough], -sure[enough]))][:GIVEN]
+
+
+def among(text: np.ndarray, page: np.ndarray) -> Surest:
+    """`Surest` of rows in memory, whose keys are their places."""
+    views, keys = (text, page), np.arange(len(text))
+
+    def surest(models: list[View], taken: list[np.ndarray]) -> list[Given]:
+        out = []
+        for v, model in enumerate(models):
+            free = np.setdiff1d(keys, taken[v])
+            p = _odds(model.logit(views[v][free]))
+            chosen = [free[best(sure, free, free)] for sure in (p, 1 - p)]
+            kinds = np.repeat([1.0, 0.0], [len(c) for c in chosen])
+            out.append(Given(np.concatenate(chosen), kinds, views[1 - v][np.concatenate(chosen)]))
+        return out
+
+    return surest
+
+
+def cotrain(text: np.ndarray, page: np.ndarray, labels: np.ndarray, surest: Surest | None = None) -> Model:
     """``labels``: 1 good, 0 bad, -1 none. A quarter of the labelled rows is kept to calibrate and combine the views.
 
     In each round both views are fitted on the labels and the pseudo-labels that the other view has given
-    them; then each view, calibrated, labels the pool rows it is surest of (SURE at least) for the other.
+    them; then each view, calibrated, labels the rows it is surest of (SURE at least) for the other. These come from
+    ``surest``, or are the rows without a label.
     """
     known = np.flatnonzero(labels >= 0)
     if len(known) < 8 or labels[known].min() == labels[known].max():
@@ -165,64 +203,128 @@ def cotrain(text: np.ndarray, page: np.ndarray, labels: np.ndarray) -> Model:
     fitted = np.setdiff1d(known, kept)
     if any(labels[part].min() == labels[part].max() for part in (kept, fitted)):
         kept = fitted = known
-    pool = np.flatnonzero(labels < 0)
     views = (text, page)
-    pseudo = [np.full(len(labels), -1.0) for _ in views]  # what a view has been given
+    if surest is None:
+        surest = among(text[labels < 0], page[labels < 0])
+    given: list[list[Given]] = [[], []]  # by a view
     for turn in range(ROUNDS + 1):
         models = []
-        for rows, given in zip(views, pseudo, strict=True):
-            extra = np.flatnonzero(given >= 0)
-            use = np.concatenate([fitted, extra])
-            target = np.concatenate([labels[fitted], given[extra]])
-            model = _view(rows[use], target, np.concatenate([np.ones(len(fitted)), np.full(len(extra), PSEUDO_WEIGHT)]))
+        for v, rows in enumerate(views):
+            extra = given[1 - v]
+            target = np.concatenate([labels[fitted], *(g.kinds for g in extra)])
+            weight = np.where(np.arange(len(target)) < len(fitted), 1.0, PSEUDO_WEIGHT)
+            model = _view(np.concatenate([rows[fitted], *(g.rows for g in extra)]), target, weight)
             line = logistic(model.raw(rows[kept])[:, None], labels[kept].astype(float), np.ones(len(kept)), ridge=0.1)
             model.slope, model.shift = max(0.0, float(line[0])), float(line[1])
             models.append(model)
-        if turn == ROUNDS or not len(pool):
+        if turn == ROUNDS:
+            break
+        found = surest(models, [np.concatenate([np.zeros(0, np.int64), *(g.keys for g in of)]) for of in given])
+        if not any(len(g.keys) for g in found):
             break
-        for rows, model, given in zip(views, models, reversed(pseudo), strict=True):
-            p = _odds(model.logit(rows[pool]))
-            for kind, sure in ((1.0, p), (0.0, 1 - p)):
-                best = np.argsort(-sure, kind="stable")
-                best = best[(sure[best] >= SURE) & (given[pool[best]] < 0)][:GIVEN]
-                given[pool[best]] = kind
+        for of, new in zip(given, found, strict=True):
+            of.append(new)
     logits = np.column_stack([model.logit(rows[kept]) for rows, model in zip(views, models, strict=True)])
     return Model(*models, logistic(logits, labels[kept].astype(float), np.ones(len(kept)), ridge=0.1))
 
 
+def _pages(metadata: list[pa.Array], count: int) -> np.ndarray:
+    values = zip(*(column.to_pylist() for column in metadata), strict=True) if metadata else ([] for _ in range(count))
+    return np.array([page_features(list(row)) for row in values], float).reshape(count, -1)
+
+
 def _features(batch_text: pa.Array, metadata: list[pa.Array]) -> tuple[np.ndarray, np.ndarray]:
     text = np.array([text_features(t.as_py() or "") for t in batch_text], float).reshape(len(batch_text), -1)
-    values = zip(*(column.to_pylist() for column in metadata), strict=True) if metadata else ([] for _ in batch_text)
-    page = np.array([page_features(list(row)) for row in values], float).reshape(len(batch_text), -1)
-    return text, page
+    return text, _pages(metadata, len(batch_text))
+
+
+def _both(batch: pa.RecordBatch | pa.Table) -> list[np.ndarray]:
+    """What the views see of rows of ``key``, ``doc_id``, text features and metadata."""
+    text = np.array(batch.column(2).to_pylist(), float).reshape(batch.num_rows, -1)
+    return [text, _pages(batch.columns[3:], batch.num_rows)]
+
+
+def among_all(others: DataFrame) -> Surest:
+    """`Surest` of a stored table, scored by Spark tasks. A task gives ids of GIVEN rows at most of each kind and view."""
+
+    def surest(models: list[View], taken: list[np.ndarray]) -> list[Given]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held = {(v, kind): np.zeros(0) for v in (0, 1) for kind in (1, 0)}
+            ids = {at: np.zeros((2, 0), np.int64) for at in held}
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                here = np.array([batch.column(0).to_numpy(), batch.column(1).fill_null(np.iinfo(np.int64).min).to_numpy()])
+                for v, (model, rows) in enumerate(zip(models, _both(batch), strict=True)):
+                    free = ~np.isin(here[0], taken[v])
+                    p = _odds(model.logit(rows[free]))
+                    for kind, sure in ((1, p), (0, 1 - p)):
+                        sure = np.concatenate([held[v, kind], sure])
+                        both = np.concatenate([ids[v, kind], here[:, free]], axis=1)
+                        top = best(sure, both[1], both[0])
+                        held[v, kind], ids[v, kind] = sure[top], both[:, top]
+            for (v, kind), sure in held.items():
+                n = len(sure)
+                columns = [pa.array([v] * n, pa.int32()), pa.array([kind] * n, pa.int32()), *map(pa.array, ids[v, kind]), pa.array(sure)]
+                yield pa.RecordBatch.from_arrays(columns, ["view", "kind", "key", "doc_id", "sure"])
+
+        found = others.mapInArrow(run, "view int, kind int, key long, doc_id long, sure double").toArrow()
+        view, kind, keys, ids, sure = (column.to_numpy() for column in found.columns)
+        chosen = {}
+        for v in (0, 1):
+            for k in (1, 0):
+                at = np.flatnonzero((view == v) & (kind == k))
+                chosen[v, k] = keys[at[best(sure[at], ids[at], keys[at])]]
+        wanted = sorted({int(key) for part in chosen.values() for key in part})
+        if not wanted:
+            return [Given(np.zeros(0, np.int64), np.zeros(0), np.zeros((0, len(models[1 - v].mean)))) for v in (0, 1)]
+        rows = others.where(F.col("key").isin(wanted)).toArrow()
+        place = {key: i for i, key in enumerate(rows.column(0).to_pylist())}
+        seen = _both(rows)
+        out = []
+        for v in (0, 1):
+            of = np.concatenate([chosen[v, 1], chosen[v, 0]])
+            out.append(Given(of, np.repeat([1.0, 0.0], [len(chosen[v, 1]), len(chosen[v, 0])]), seen[1 - v][[place[int(k)] for k in of]]))
+        return out
+
+    return surest
 
 
 def train(
     docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", metadata: tuple[str, ...] = METADATA, label: str = "quality"
 ) -> Model:
-    """The classifiers of a sample: SAMPLE_LABELLED labelled documents and SAMPLE_POOL of all, drawn by the hash of their ids.
+    """The classifiers of SAMPLE_LABELLED labelled documents, drawn by the hash of their ids, and of pseudo-labels on all other rows.
 
     An id with several labels counts as bad if one says so. Null ids and labels that are not 0 or 1 are left out.
-    Without labels of both kinds, every document gets the share of good labels (1 without any).
+    Rows outside the sample count as unlabelled, also those with a label or without an id. Their features are written once and
+    scored in each round. Without labels of both kinds, every document gets the share of good labels (1 without any).
     """
-    session_of(docs)
+    spark = session_of(docs)
     marked = labels.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(label).cast("int").alias("mark"))
-    by_hash = [F.xxhash64("doc_id"), F.col("doc_id")]
     marked = marked.where("doc_id is not null and mark in (0, 1)").groupBy("doc_id").agg(F.min("mark").alias("mark"))
-    marked = marked.orderBy(*by_hash).limit(SAMPLE_LABELLED)
-    ids = docs.select(F.col(doc_id).cast("long").alias("doc_id")).where("doc_id is not null").distinct()
-    pool = ids.orderBy(*by_hash).limit(SAMPLE_POOL).select("doc_id", F.lit(-1).alias("mark"))
-    drawn = marked.union(pool).groupBy("doc_id").agg(F.max("mark").alias("mark"))
-
-    @F.arrow_udf("struct<text: array<double>, page: array<double>>")
-    def measured(texts: pa.Array, *columns: pa.Array) -> pa.Array:
-        rows = [pa.array(list(part), pa.list_(pa.float64())) for part in _features(texts, list(columns))]
-        return pa.StructArray.from_arrays(rows, ["text", "page"])
-
-    chosen = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), *metadata)
+    drawn = store(marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_LABELLED), new_folder(spark, "labelled"))
+
+    @F.arrow_udf("array<double>")
+    def read(texts: pa.Array) -> pa.Array:
+        return pa.array([text_features(t.as_py() or "") for t in texts], pa.list_(pa.float64()))
+
+    @F.arrow_udf("array<double>")
+    def seen(first: pa.Array, *columns: pa.Array) -> pa.Array:
+        return pa.array(list(_pages(list(columns), len(first))), pa.list_(pa.float64()))
+
+    values = [F.col(c).cast("string") if kind == "void" else F.col(c) for c in metadata for kind in [dict(docs.dtypes).get(c)]]
+    features = store(
+        docs.select(
+            F.monotonically_increasing_id().alias("key"),
+            F.col(doc_id).cast("long").alias("doc_id"),
+            read(F.col(text).cast("string")).alias("text"),
+            *(value.alias(f"m{i}") for i, value in enumerate(values)),
+        ),
+        new_folder(spark, "features"),
+    )
     sample = (
-        chosen.join(F.broadcast(drawn), "doc_id")
-        .select("doc_id", "mark", measured("text", *metadata).alias("found"))
+        features.join(F.broadcast(drawn), "doc_id")
+        .select("doc_id", "mark", F.struct("text", seen("key", *features.columns[3:]).alias("page")).alias("found"))
         .groupBy("doc_id")
         .agg(F.first("mark").alias("mark"), F.min("found").alias("found"))
         .collect()
@@ -231,7 +333,8 @@ def train(
         return Model(None, None, np.zeros(3))
     sample.sort(key=lambda r: r["doc_id"])
     sides = (np.array([r["found"][side] for r in sample], float) for side in ("text", "page"))
-    return cotrain(*sides, np.array([r["mark"] for r in sample]))
+    others = features.join(F.broadcast(drawn.select("doc_id")), "doc_id", "left_anti").select(features.columns)
+    return cotrain(*sides, np.array([r["mark"] for r in sample]), among_all(others))
 
 
 def quality(text: Column, metadata: list[Column], model: Model) -> Column:

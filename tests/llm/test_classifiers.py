@@ -83,6 +83,31 @@ def test_views_teach_each_other():
     assert agree(combined) > 0.97
 
 
+def test_pseudo_labels_come_from_all_rows_outside_the_sample(spark, monkeypatch):
+    """Labels cover every document; those beyond the sample, and rows without an id, count as unlabelled."""
+    n = quality.SAMPLE_LABELLED + 1500
+    bad = lambda i: i % 3 == 0
+    text = lambda i: f"{i} BUY @@ NOW ## !! {i % 7} $$ BUY BUY" if bad(i) else f"A plain sentence about river number {i} and its {i % 11} banks."
+    rows = [(i if i % 50 else None, text(i), "en", "spam" if bad(i) else f"s{i % 5}", len(text(i))) for i in range(1, n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    labels = spark.createDataFrame([(i, int(not bad(i))) for i in range(1, n) if i % 50], "doc_id long, quality int")
+    fitted = []
+    plain = quality._view
+    monkeypatch.setattr(quality, "_view", lambda rows, *more: fitted.append(len(rows)) or plain(rows, *more))
+    model = quality.train(docs, labels)
+    assert len(fitted) > 2 and max(fitted) > quality.SAMPLE_LABELLED * 3 // 4
+    # The same in memory, on all rows at once.
+    order = labels.select("doc_id", quality.F.xxhash64("doc_id").alias("h")).orderBy("h", "doc_id").limit(quality.SAMPLE_LABELLED)
+    sample = {r.doc_id for r in order.collect()}
+    rows.sort(key=lambda r: (r[0] is not None, r[0]))
+    pages = np.array([quality.page_features(list(r[2:])) for r in rows])
+    texts = np.array([quality.text_features(r[1]) for r in rows])
+    marks = np.array([int(not bad(r[0])) if r[0] in sample else -1 for r in rows])
+    whole = quality.cotrain(texts, pages, marks)
+    for found, want in zip(model.scores(texts, pages), whole.scores(texts, pages), strict=True):
+        assert np.abs(found - want).max() < 0.01
+
+
 @pytest.mark.parametrize("marks", [[], [(1, 1, 0)], [(1, None, None), (None, 1, 1), (2, 7, 7)]])
 def test_without_labels_of_both_kinds_all_stay(spark, marks):
     docs = documents(spark)
