@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playstar.llm import ann, byte_bpe, embed_dedup, packing, quality, sharding, simhash, token_count, toxicity, url_filter
+from playstar.llm import (
+    ann,
+    byte_bpe,
+    conversation_repair,
+    embed_dedup,
+    oracles,
+    packing,
+    quality,
+    resampling,
+    sharding,
+    simhash,
+    substring_dedup,
+    token_count,
+    toxicity,
+    url_filter,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,6 +95,38 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model, threshold=0.7).drop("sentences")
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.deduplicate(_table(spark, sf_dir, "documents"), window=20)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Conversations as a faulty collector might deliver them, each row's fate drawn by its id and turn; nulls count as one space."""
+    spaced = {name: F.coalesce(F.col(name).cast("string"), F.lit(" ")) for name in ("conv_id", "turn", "role", "text")}
+    fate = F.crc32(F.concat(spaced["conv_id"], F.lit(":"), spaced["turn"]).cast("binary")) % 20
+    text = F.when(F.col("fate") == 1, "").when(F.col("fate") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    rows = conversations.select("conv_id", "turn", spaced["role"].alias("role"), spaced["text"].alias("text"), fate.alias("fate"))
+    rows = rows.where("fate <> 0").withColumns({"role": F.when(F.col("fate") == 4, "user").otherwise(F.col("role")), "text": text})
+    copies = F.when(F.col("fate") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return rows.select("conv_id", "turn", "role", "text", F.explode(copies).alias("copy")).drop("copy")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    found = conversation_repair.repair(damaged(given)).report().withColumnRenamed("conv_id", "found_id")
+    every = given.select("conv_id").distinct().join(found, F.col("conv_id").eqNullSafe(F.col("found_id")), "left").drop("found_id")
+    numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    nothing = F.sha2(F.lit("").cast("binary"), 256)
+    return every.na.fill(0, numbers).select(
+        "conv_id", *numbers, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", nothing).alias("repaired_sha256")
+    )
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), percent=25, seed=7)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -93,6 +140,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_embed_dedup,
         op9_quality,
         op10_toxicity,
+        op11_substring_dedup,
+        op12_conversation_repair,
+        op13_resampling,
     )
 }
 
@@ -129,4 +179,7 @@ ORACLES: dict[str, str] = {
         )
         SELECT doc_id, slot, [{_SHARD_NAMES_SQL}][{sharding.lookup_table(SHARDS)}[slot + 1] + 1] AS shard
         FROM slots""",
+    "op11_substring_dedup": oracles.SUBSTRINGS,
+    "op12_conversation_repair": oracles.CONVERSATIONS,
+    "op13_resampling": oracles.RESAMPLING,
 }
