@@ -84,16 +84,16 @@ class Rolling:
         return mixed((self.sums[stop] - self.sums[start]) * self.down[start] + (stop - start).astype(np.uint64))
 
 
-def _texts(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, list[list[bytes]]]]:
+def _texts(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[tuple[pa.RecordBatch, list[list[bytes]]]]:
     """Runs of rows of bounded size with the words of their texts."""
     for batch in batches:
-        sizes = np.cumsum([len(value.as_buffer() or b"") if value.is_valid else 0 for value in batch.column(column)])
+        sizes = np.cumsum([len(value.as_buffer()) for value in batch.column("text")])
         start = 0
         while start < batch.num_rows:
             done = sizes[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(sizes, done + BLOCK_BYTES, side="right")))
+            stop = max(start + 1, int(np.searchsorted(sizes, done + block_bytes, side="right")))
             part = batch.slice(start, stop - start)
-            yield part, [(value.as_py() or b"").split() for value in part.column(column)]
+            yield part, [value.as_py().split() for value in part.column("text")]
             start = stop
 
 
@@ -173,11 +173,11 @@ def joined(stretch: np.ndarray, source: np.ndarray, place: np.ndarray) -> tuple[
     return out, source[begins], place[begins]
 
 
-def parse(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+def parse(batches: Iterator[pa.RecordBatch], window: int, block_bytes: int) -> Iterator[pa.RecordBatch]:
     """Anchors of the texts' windows and the stretches of windows that chose them, settled block by block."""
     memory, gram = WordHashes(), min(ANCHOR_WORDS, window)
     reach = window - gram + 1
-    for part, texts in _texts(batches):
+    for part, texts in _texts(batches, block_bytes):
         texts = [words if len(words) >= window else [] for words in texts]
         sizes = np.array([len(words) for words in texts], np.int64)
         if not sizes.sum():
@@ -205,10 +205,10 @@ def _stretches(part: pa.RecordBatch, row: np.ndarray, start: np.ndarray, count:
     return out
 
 
-def look_up(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+def look_up(batches: Iterator[pa.RecordBatch], window: int, block_bytes: int) -> Iterator[pa.RecordBatch]:
     """The single windows of open stretches, settled block by block."""
     memory = WordHashes()
-    for part, texts in _texts(batches):
+    for part, texts in _texts(batches, block_bytes):
         low, high = memory.of(texts)
         if len(low) < window:
             continue
@@ -283,14 +283,14 @@ def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return rows.join(repeated, "doc", "left").select("doc_id", "doc", F.when(F.col("repeated"), F.col("mark")).otherwise(F.lit(0)).alias("mark"), "text")
 
 
-def copied_stretches(texts: DataFrame, window: int) -> DataFrame:
+def copied_stretches(texts: DataFrame, window: int, block_bytes: int) -> DataFrame:
     """Stretches of windows that an earlier place of the corpus has: ``doc``, ``mark``, ``start``, ``count`` (of windows), and the
     first place that has them, ``source`` (its doc) and ``place`` (its start)."""
     texts = texts.select(*_KEY, "text")
-    found = _settled(texts.mapInArrow(lambda batches: parse(batches, window), _FOUND_DDL), True, "stretches")
+    found = _settled(texts.mapInArrow(lambda batches: parse(batches, window, block_bytes), _FOUND_DDL), True, "stretches")
     open_ones = found.where(F.col("kind") == OPEN).select(*_KEY, "start", "count").distinct()
     listed = open_ones.groupBy(*_KEY).agg(F.collect_list(F.struct("start", "count")).alias("open"))
-    again = texts.join(listed, _KEY).mapInArrow(lambda batches: look_up(batches, window), _FOUND_DDL)
+    again = texts.join(listed, _KEY).mapInArrow(lambda batches: look_up(batches, window, block_bytes), _FOUND_DDL)
     windows = _settled(again, False, "windows")
     columns = [*_KEY, "start", "count", "source", "place"]
     return found.where(F.col("kind") == COPIED).select(columns).union(windows.where(F.col("kind") == COPIED).select(columns))
@@ -317,7 +317,9 @@ _RESULT = pa.schema(
 )
 
 
-def deduplicate(docs: DataFrame, window: int = 20, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def deduplicate(
+    docs: DataFrame, window: int = 20, doc_id: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
     """``doc_id``, ``n_words``, ``n_removed``, ``kept`` (text) and ``factors`` of every row of ``docs``.
 
     Words are runs of anything but ASCII white space, as they are written. A window is ``window`` consecutive words of one text. Every word
@@ -326,7 +328,7 @@ def deduplicate(docs: DataFrame, window: int = 20, doc_id: str = "doc_id", text:
     words, as the id ``source`` and the start ``place``.
 
     Every window chooses an anchor by its words alone, the smallest hash of ANCHOR_WORDS words in it, so equal windows choose alike; consecutive
-    windows of one anchor are a stretch, about one for every eight words. Stretches are settled within blocks of BLOCK_BYTES of text, where copies
+    windows of one anchor are a stretch, about one for every eight words. Stretches are settled within blocks of ``block_bytes`` of text, where copies
     are found without a shuffle, and what is first there is dealt out by anchor. So a passage of very many documents is one row for each block.
     A stretch that an earlier place has as a whole is copied from there. Anchors with different stretches, at the borders of passages,
     are looked up window by window, first within blocks, too. Windows are compared by 128 bits of two hashes.
@@ -337,11 +339,11 @@ def deduplicate(docs: DataFrame, window: int = 20, doc_id: str = "doc_id", text:
     """
     session_of(docs)
     texts = _keyed(docs, doc_id, text)
-    copied = copied_stretches(texts, window).distinct()
+    copied = copied_stretches(texts, window, block_bytes).distinct()
     listed = copied.groupBy(*_KEY).agg(F.collect_list(F.struct("start", "count", "source", "place")).alias("copied"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, all_words in _texts(batches):
+        for part, all_words in _texts(batches, block_bytes):
             rows = []
             for doc, words, stretches in zip(part.column("doc_id").to_pylist(), all_words, part.column("copied").to_pylist(), strict=True):
                 found = factors(stretches or [], window)
