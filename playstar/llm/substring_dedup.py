@@ -24,7 +24,7 @@ from playstar.session import new_folder, store
 #: Words of an anchor. Shorter ones are fewer; longer ones meet by chance less often.
 ANCHOR_WORDS = 6
 #: Bytes of texts that are parsed at a time (one text at least), and the block in which copies are settled without a shuffle.
-BLOCK_BYTES = 6_000_000
+BLOCK_BYTES = 3_000_000
 #: Different words a Python worker remembers, and the most bytes of one of them.
 WORDS_KEPT, WORD_BYTES = 200_000, 64
 #: Stands for a null id: such rows come after all others.
