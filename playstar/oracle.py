@@ -323,6 +323,14 @@ def oracle_statements() -> dict[str, str]:
             UNION ALL
             SELECT 'staging_song_log by sessionId', count(*)
             FROM (SELECT "sessionId" FROM song_log GROUP BY "sessionId" HAVING count(*) > 1)""",
+        "load_errors": """
+            SELECT 'part=' || (number % 4) AS folder, CASE WHEN number % 10 <> 0 THEN 'year' END AS "column",
+                   CASE WHEN number % 10 = 0 THEN substr('{"num_songs":1,"artist_id":"AR', 1, 20) ELSE odd_year END AS value,
+                   CAST(CASE WHEN number % 10 = 0 THEN 20 ELSE length(odd_year) END AS BIGINT) AS length,
+                   CASE WHEN number % 10 = 0 THEN 'not JSON' ELSE 'not int' END AS reason
+            FROM (SELECT p_partkey AS number, 'year ' || CASE WHEN p_size % 10 = 0 THEN 0 ELSE 1960 + p_size END AS odd_year FROM part)
+            WHERE number % 10 = 0 OR number % 7 = 0""",
+        "load_timing_own": "SELECT CAST(0 AS BIGINT) AS query, count(DISTINCT p_partkey % 20) - 1 AS processed_files, TRUE AS takes_time FROM part",
         "incremental_star": """
             SELECT fact.* EXCLUDE (user_key, artist_key, song_key), us.* EXCLUDE (user_key), ar.* EXCLUDE (artist_key),
                    so.song_id, so.song_title, so.song_year

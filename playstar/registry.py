@@ -452,6 +452,40 @@ def incremental_stream(spark, sf_dir):
     return _per_load(IncrementalStaging(spark, root))
 
 
+def _song_lines(spark, sf_dir) -> DataFrame:
+    """Song records as JSON text, with the number in their id: one of ten is cut off, one of seven has a word for its year."""
+    number = F.regexp_extract("song_id", r"(\d+)$", 1).cast("bigint")
+    songs = testbed.song_data(spark, sf_dir).withColumn("year", F.col("year").cast("string"))
+    odd_year = F.when(number % 7 == 0, F.concat(F.lit("year "), "year")).otherwise(F.col("year"))
+    text = songs.withColumn("year", odd_year).select(number.alias("number"), F.to_json(F.struct(*songs.columns)).alias("value"))
+    return text.withColumn("value", F.when(F.col("number") % 10 == 0, F.substring("value", 1, 20)).otherwise(F.col("value")))
+
+
+@query
+def q_load_errors(spark, sf_dir):
+    """What was wrong with each rejected record of a load, from the folder its file is in to the text."""
+    source, root = new_folder(spark, "arriving"), new_folder(spark, "incremental")
+    lines = _song_lines(spark, sf_dir).withColumn("part", F.col("number") % 4)
+    lines.select("value", "part").write.partitionBy("part").text(source)
+    staging = IncrementalStaging(spark, root)
+    staging.load_new(source, SONG_MAPPING, max_errors=1 << 40)
+    folder = F.regexp_extract("filename", r"/(part=\d+)/", 1).alias("folder")
+    return staging.errors("staging_song_data").select(folder, "column", "value", "length", "reason")
+
+
+@query
+def load_timing_own(spark, sf_dir):
+    """The timing of a load that this library has made itself, of one file for each of twenty groups of songs."""
+    source, root = new_folder(spark, "arriving"), new_folder(spark, "incremental")
+    songs = testbed.song_data(spark, sf_dir).withColumn("part", F.regexp_extract("song_id", r"(\d+)$", 1).cast("bigint") % 20)
+    songs.repartition("part").write.partitionBy("part").json(source)
+    staging = IncrementalStaging(spark, root)
+    staging.load_new(source, SONG_MAPPING)
+    ledger = staging.ledger.of_table("staging_song_data").withColumnRenamed("load_batch", "query")
+    timing = analytics.load_timing(ledger)
+    return timing.select("query", "processed_files", (F.col("avg_time_per_file") > 0).alias("takes_time"))
+
+
 @query
 def incremental_star(spark, sf_dir):
     """The star in two waves of plays and songs; plays with what they refer to, without keys.

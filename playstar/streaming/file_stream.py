@@ -6,11 +6,10 @@ The driver still lists the source and keeps the names it has seen.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from playstar.plans.incremental import IncrementalStaging
 from playstar.schemas import PathMapping
-from playstar.sources.json_files import parse_json
+from playstar.sources.json_files import parse_json, with_source
 from playstar.sources.manifest import MAX_ENTRIES
 
 # Files count as new by their names alone, however old they are.
@@ -31,15 +30,17 @@ def stream_new_files(
     repeated after a failure is stored once. The error budget holds for the whole run: all its
     loads enter the ledger at its end, or none. Loads that were staged by a run
     that died or was rejected are pending: they count in the next run, which commits them if the budget then allows.
-    Use one root for either this form or the batch form.
+    A pending file that has been corrected since is read again, as length and time of every file are kept with its
+    records, and one that is gone no longer counts. Use one root for either this form or the batch form.
     """
     staging = IncrementalStaging(spark, root)
+    left_over = not staging.pending(mapping.table).isEmpty()
 
     def write(rows: DataFrame, batch: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{staging.folder(mapping.table)}/load_batch={batch}")
+        rows.write.mode("overwrite").parquet(staging.load_folder(mapping.table, batch))
 
     reader = spark.readStream.option("maxFilesPerTrigger", max_files).option("maxFileAge", NO_AGE_LIMIT)
-    parsed = parse_json(reader, source, mapping).withColumn("_file", F.col("_metadata.file_path"))
+    parsed = with_source(parse_json(reader, source, mapping))
     query = (
         parsed.writeStream.foreachBatch(write)
         .option("checkpointLocation", f"{root}/checkpoints/{mapping.table}")
@@ -47,4 +48,6 @@ def stream_new_files(
         .start()
     )
     query.awaitTermination()
+    if left_over:
+        staging.repair_pending(source, mapping)
     return staging.commit_pending(mapping, max_errors)
