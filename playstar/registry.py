@@ -14,7 +14,7 @@ from playstar.operators import quality
 from playstar.operators.windows import previous_in_group
 from playstar.plans import analytics, lifecycle, star
 from playstar.plans.calendar import dim_date, dim_time
-from playstar.plans.extend import extend_star
+from playstar.plans.growing import GrowingDatabase
 from playstar.plans.incremental import IncrementalStaging, new_files
 from playstar.plans.warehouse import build_warehouse, warehouse
 from playstar.schemas import LOG_MAPPING, PRIMARY_KEYS, SONG_MAPPING, natural_columns
@@ -488,23 +488,31 @@ def load_timing_own(spark, sf_dir):
 
 @query
 def incremental_star(spark, sf_dir):
-    """The star in two waves of plays and songs; plays with what they refer to, without keys.
+    """The tables of a database that has grown by two waves of files; plays with what they refer to, without keys.
 
-    Many plays of the first wave refer to songs, artists and user rows of the second.
+    Many plays of the first wave refer to songs, artists and user rows of the second, and some come again in it.
     """
-    sink = star.parquet_sink(new_folder(spark, "waves"))
+    logs, songs, root = (new_folder(spark, name) for name in ("log-json", "song-json", "incremental"))
+    log, catalogue = testbed.song_log(spark, sf_dir), testbed.song_data(spark, sf_dir)
     first_play = (F.col("ts") / 1000).cast("bigint") % 2 == 0
     first_song = F.crc32(F.col("song_id").cast("binary")) % 3 > 0
-    log = sink("log", star.stage(testbed.song_log(spark, sf_dir), "staging_song_log"))
-    songs = sink("songs", star.stage(testbed.song_data(spark, sf_dir), "staging_song_data"))
-    logs, catalogues = (log.where(first_play), log.where(~first_play)), (songs.where(first_song), songs.where(~first_song))
-    known = star.build_star(logs[0], catalogues[0], sink)
-    tables = extend_star(known, *logs, *catalogues, sink).tables
-    plays = tables["fact_songplay"]
-    for name, key in (("dim_user", "user_key"), ("dim_artist", "artist_key")):
-        plays = plays.join(tables[name], key, "left")
-    plays = plays.join(tables["dim_song"].select("song_key", "song_id", "song_title", "song_year"), "song_key", "left")
-    return plays.drop("songplay_key", "user_key", "artist_key", "song_key")
+    again = F.col("ts") % 50 == 0
+    waves = ((log.where(first_play), catalogue.where(first_song)), (log.where(~first_play | again), catalogue.where(~first_song)))
+    staging = IncrementalStaging(spark, root)
+    with _own_database(spark) as db:
+        lifecycle.reset(spark, db)
+        for wave, (plays, records) in enumerate(waves):
+            _log_as_json(plays, f"{logs}/{wave}")
+            staging.load_new(logs, LOG_MAPPING)
+            records.write.json(f"{songs}/{wave}")
+            staging.load_new(songs, SONG_MAPPING)
+            GrowingDatabase(spark, db, staging).grow()
+        tables = lifecycle.tables_of(spark, db)
+        plays = tables["fact_songplay"]
+        for name, key in (("dim_user", "user_key"), ("dim_artist", "artist_key")):
+            plays = plays.join(tables[name], key, "left")
+        plays = plays.join(tables["dim_song"].select("song_key", "song_id", "song_title", "song_year"), "song_key", "left")
+        return store(plays.drop("songplay_key", "user_key", "artist_key", "song_key"), new_folder(spark, "grown"))
 
 
 @query

@@ -112,3 +112,25 @@ def exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
+
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files in a folder; none if it is not there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [status.getPath().getName() for status in system.listStatus(folder) if status.isFile()] if system.exists(folder) else []
+
+
+def write_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file that nobody has written yet; false if it is there already.
+
+    It gets its name when it is complete, so readers never find a part of it.
+    """
+    target, upcoming = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}.{uuid.uuid4().hex}.tmp"))
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = system.create(upcoming, False)
+    out.write(text.encode())
+    out.close()
+    done = not system.exists(target) and system.rename(upcoming, target)
+    if not done:
+        system.delete(upcoming, False)
+    return done
