@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from playstar.llm.common import extended, groups, session_of
 from playstar.session import new_folder, store
 
-#: Vectors on which the lists' centres are fitted, and the most lists there are.
+#: Vectors (on average) on which the lists' centres are fitted, and the most lists there are.
 SAMPLE_VECTORS = 20_000
 MOST_LISTS = 4096
 #: Vectors and queries of a list that are compared in one cell.
@@ -112,6 +112,9 @@ def scan(
         yield int(query_id), ids[others[best]], exact[best]
 
 
+FOUND = "query_id long, rank int, vec_id long, score double"
+
+
 def search(
     vectors: DataFrame,
     queries: DataFrame,
@@ -126,25 +129,33 @@ def search(
     not its own neighbour (by id). Fewer candidates than k: all that were found.
 
     Every vector is in the list of its nearest centre. There are about as many lists as the square root of the
-    number of vectors (MOST_LISTS at most); centres are fitted on SAMPLE_VECTORS vectors at most. A query visits the share
+    number of vectors (MOST_LISTS at most); centres are fitted on SAMPLE_VECTORS vectors at most, drawn by share. A query visits the share
     ``probes`` of the lists, nearest first, and scans them by rotated dimension blocks, leaving candidates early (`scan`). A list is
     cut into cells of bounded size, so a crowded one is the work of many tasks; each cell gives the k best of each query.
 
     Rows without an id, or whose vector is null, empty, zero or holds null or non-finite components, take no
-    part on either side. All vectors need the same length as the first; others take no part. Repeated rows are candidates
-    each for itself; a repeated query id is searched once. Other columns are ignored. No vectors or no queries: no rows.
+    part on either side. Vectors of different lengths are no neighbours: each length is searched by itself. Repeated rows are candidates
+    each for itself; a repeated query id is searched once, with the smallest of its vectors. Other columns are ignored. No vectors or no queries: no rows.
     """
     spark = session_of(vectors)
-    schema = "query_id long, rank int, vec_id long, score double"
     rows = usable(vectors, vec_id, embedding)
-    asked = usable(queries, vec_id, embedding).dropDuplicates(["vec_id"])
-    sample_rows = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_VECTORS).collect()
-    if not sample_rows:
-        return spark.createDataFrame([], schema)
-    dims = len(sample_rows[0]["vector"])
-    sample = np.array([r["vector"] for r in sample_rows if len(r["vector"]) == dims])
-    rows, asked = (side.where(F.size("vector") == dims) for side in (rows, asked))
-    lists = int(min(MOST_LISTS, max(1, round(rows.count() ** 0.5))))
+    asked = usable(queries, vec_id, embedding).groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    found = spark.createDataFrame([], FOUND)
+    # One row for each length that both sides have.
+    lengths = rows.groupBy(F.size("vector").alias("dims")).agg(F.count(F.lit(1)).alias("n"))
+    for dims, n in sorted(lengths.join(asked.select(F.size("vector").alias("dims")).distinct(), "dims").collect()):
+        of_length = (side.where(F.size("vector") == dims) for side in (rows, asked))
+        found = found.union(_search(*of_length, dims, n, k, probes))
+    return found
+
+
+def _search(rows: DataFrame, asked: DataFrame, dims: int, n: int, k: int, probes: float) -> DataFrame:
+    """The search among ``n`` vectors (``vec_id``, ``vector``) of one length."""
+    spark = rows.sparkSession
+    sample = np.array([r["vector"] for r in rows.select("vector").sample(min(1.0, SAMPLE_VECTORS / n), seed=5).collect()])
+    if not len(sample):
+        sample = np.array([rows.first()["vector"]])
+    lists = int(min(MOST_LISTS, max(1, round(n**0.5))))
     centres = fit_centres(sample, lists)
     visits = max(1, min(len(centres), int(np.ceil(len(centres) * probes))))
     turn = rotation(dims)

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from playstar.llm.common import session_of, slices, vocabulary
 
-#: Runs of text between single spaces that a Python worker remembers.
-RUNS_KEPT = 600_000
+#: Runs without spaces a Python worker remembers, and the most characters of one of them.
+RUNS_KEPT, RUN_CHARS = 600_000, 64
 #: Below it, a letter to Python is a letter to any pattern, whatever their Unicode versions.
 LATIN_END = "\u0250"
 #: Words of more bytes are merged with a heap, whose cost does not grow with the square.
@@ -104,7 +104,8 @@ class Encoder(dict):
             ids = self.stretch(" " + run)
         else:
             ids = None
-        self[run] = ids
+        if len(run) <= RUN_CHARS:
+            self[run] = ids
         return ids
 
     def of(self, text: str) -> bytes:
@@ -175,7 +176,8 @@ def encode(
 
 
 def decode(encoded: DataFrame, ranks_path: str | None = None, ids: str = "ids", to: str = "decoded") -> DataFrame:
-    """Adds ``to``: the bytes (binary) that the ids stand for, the pieces put one after the other. Null ids give null."""
+    """Adds ``to``: the bytes (binary) that the ids stand for, the pieces put one after the other. Null ids give null; an id outside the vocabulary
+    fails the job."""
     path = ranks_path or vocabulary("byte_bpe_50k.tiktoken")
     session_of(encoded)
 

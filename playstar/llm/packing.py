@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from playstar.llm.common import session_of, slices, vocabulary
 
-#: Words whose ids a Python worker remembers.
-WORDS_KEPT = 500_000
+#: Words a Python worker remembers, and the most characters of one of them.
+WORDS_KEPT, WORD_CHARS = 500_000, 64
 #: Open windows of a partition above which their content is drawn together.
 OPEN_WINDOWS = 2048
 #: Below it, a letter to Python is a letter to the library's pattern whatever their Unicode versions.
@@ -55,7 +55,9 @@ class WordIds(dict):
         found = self.simple.get(part)
         if found is None:
             spelled = part if part.isascii() else part.encode().decode("latin-1").translate(self.spelled)
-            found = self.simple[part] = np.array([t.id for t in self.model.tokenize(spelled)], "<u4").tobytes()
+            found = np.array([t.id for t in self.model.tokenize(spelled)], "<u4").tobytes()
+            if len(part) <= WORD_CHARS:
+                self.simple[part] = found
         return found
 
     def __missing__(self, word: str) -> bytes:
@@ -67,7 +69,8 @@ class WordIds(dict):
         else:
             spelled = (part for part, _ in self.pre_tokenize(plain))
             ids = np.array([t.id for part in spelled for t in self.model.tokenize(part)], "<u4").tobytes()
-        self[word] = ids
+        if len(word) <= WORD_CHARS:
+            self[word] = ids
         return ids
 
     def of(self, text: str) -> bytes:

@@ -55,9 +55,11 @@ class Frame:
         # A rule given twice with both verdicts blocks.
         if path not in self.rules or verdict == "block":
             self.rules[path] = (rule, verdict)
-        self.lengths = sorted({len(path) for path in self.rules}, reverse=True)
+        self.lengths.clear()
 
     def longest(self, path: str) -> tuple[str, str] | None:
+        if not self.lengths:  # all rules of a host come before its urls, so this is done once
+            self.lengths = sorted({len(path) for path in self.rules}, reverse=True)
         return next((self.rules[path[:n]] for n in self.lengths if path[:n] in self.rules), None)
 
 

@@ -40,6 +40,41 @@ def test_offending_sentences_are_located():
     assert score == pytest.approx(1 - np.prod([1 - 1 / (1 + np.exp(8 - w)) for w in (0, 12, 0, 11)]))
 
 
+def test_long_clean_texts_are_clean_and_one_bad_sentence_in_them_is_found(spark, tables):
+    docs, labels = tables
+    model = toxicity.train(docs, labels)
+    truth = {r.doc_id: r.toxic for r in labels.collect()}
+    texts = {r.doc_id: r.text for r in docs.collect() if r.text}
+    scorer = toxicity.Scorer(model)
+    worst = [s[0] for i, t in texts.items() if truth.get(i) == 1 for s in toxicity.SENTENCES.finditer(t) if scorer.document(s[0], 0.5)[0] > 0.9]
+    plain = [s for i, t in texts.items() if truth.get(i) == 0 for s in toxicity.SENTENCES.findall(t) if scorer.document(s, 0.5)[0] < 0.1]
+    sentences = (plain * (100_000 // len(plain) + 1))[:100_000]
+    clean, bad = ". ".join(sentences), ". ".join([*sentences[:70_000], worst[0], *sentences[70_000:]])
+    rows = spark.createDataFrame([(1, clean), (2, bad)], "doc_id long, text string")
+    found = {r.doc_id: r for r in toxicity.score(rows, model).collect()}
+    assert found[1].score < 0.3 and found[1].sentences == []
+    assert found[2].predicted == 1 and [bad[s.start : s.stop].strip() for s in found[2].sentences] == [worst[0].strip()]
+
+
+def test_long_labelled_documents_take_part_in_training(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "PIECE_CHARS", 200)
+    draw = np.random.default_rng(5)
+    # Only long documents have labels; a clean one holds thousands of words.
+    texts = [". ".join(" ".join(f"w{k}" for k in draw.integers(0, 60, 6)) for _ in range(300)) for _ in range(60)]
+    rows = [(i, t if i % 2 else t[:900] + ". w1 vilething w2. " + t[900:]) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i, _ in rows] + [(0, 0)], "doc_id long, toxic int")
+    scorer = toxicity.Scorer(toxicity.train(docs, labels))
+    assert scorer.document("w5 vilething w9", 0.5)[0] > 0.7 and scorer.document(texts[1], 0.5)[0] < 0.3
+
+
+def test_equal_texts_with_different_labels_count_as_toxic():
+    texts = ["good words here", "vile words here", "vile words here"] * 6
+    model = toxicity.fit(texts + [f"plain {i}" for i in range(9)], [0, 1, 0] * 6 + [0] * 9)
+    assert isinstance(model, toxicity.Model)
+    assert toxicity.fit(["a b", "a b"], [1, 0]).bias == 0.0
+
+
 def test_training_finds_the_sentence_behind_the_label():
     rng = np.random.default_rng(0)
     words = [f"w{i}x" for i in range(200)]
@@ -154,7 +189,19 @@ def test_dedup_stage_on_awkward_rows(spark, larger):
     out = dict(corpus_pipeline.STAGES)["SimHash near-dedup"](spark, documents(spark), larger)
     assert out.columns == documents(spark).columns
     ids = [r.doc_id for r in out.collect()]
-    assert ids.count(None) == 2 and ids.count(7) == 1 and 2 not in ids and 1 in ids
+    # The row without id and text has the fingerprint of rows with ids.
+    assert ids.count(None) == 1 and ids.count(7) == 1 and 2 not in ids and 1 in ids
+
+
+def test_dedup_stage_on_repeated_ids_and_rows_without_one(spark, larger):
+    a, b, c, d = (" ".join(f"{name}{i}" for i in range(40)) for name in "abcd")
+    rows = [(1, a), (1, b), (1, b), (2, a), (None, a), (None, c), (None, c), (None, d), (3, d), (None, b + " more")]
+    stage = dict(corpus_pipeline.STAGES)["SimHash near-dedup"]
+    outs = [sorted(map(str, stage(spark, documents(spark, rows).repartition(n), larger).select("doc_id", "text").collect())) for n in (1, 5)]
+    assert outs[0] == outs[1]
+    kept = [(r.doc_id, r.text) for r in stage(spark, documents(spark, rows), larger).collect()]
+    assert sum(i == 1 for i, _ in kept) == 1 and (2, a) not in kept and (3, d) in kept
+    assert kept.count((None, c)) == 1 and (None, a) not in kept and (None, d) not in kept
 
 
 @pytest.mark.parametrize("rows", [TEXTS, []])

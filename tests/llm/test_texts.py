@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import random
 import re
 import zlib
 from pathlib import Path
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from playstar.llm import byte_bpe, packing, registry, simhash, token_count
+from playstar.llm.common import vocabulary
 from tests.llm.tables import LONG, TEXTS, documents, smallest_reachable
 
 
@@ -213,3 +215,14 @@ def test_digest_columns(spark, sf_dir):
 @pytest.mark.parametrize("operator", [simhash.near_duplicates, packing.pack, byte_bpe.encode, token_count.count_tokens])
 def test_empty_table(spark, operator):
     assert operator(documents(spark, [])).count() == 0
+
+
+def test_long_words_are_not_remembered():
+    words = packing.WordIds(vocabulary("word_bpe_49k.json"))
+    encoder = byte_bpe.worker_encoder(vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    draw = random.Random(3)
+    texts = [" ".join("".join(draw.choices("abcdefgh,.漢", k=4000)) for _ in range(3)) for _ in range(60)]
+    for memory, encode in ((words, words.of), (words.simple, words.of), (encoder, encoder.of)):
+        for text in texts:
+            encode(text)
+        assert max(map(len, memory), default=0) <= 64

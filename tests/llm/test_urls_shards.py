@@ -104,3 +104,10 @@ def test_shards_are_written_to_folders(spark, tmp_path):
     sharding.write_shards(rows, ["id"], ["a", "b", "c"], str(tmp_path / "out"), files=2, size=101)
     back = spark.read.parquet(str(tmp_path / "out"))
     assert back.count() == 2000 and {r.shard for r in back.select("shard").distinct().collect()} == {"a", "b", "c"}
+
+
+def test_very_many_rules_of_one_host(spark):
+    rules = [("a.com", f"/{i}/", "block") for i in range(100_000)] + [("com", "/", "allow")]
+    urls = spark.createDataFrame([(i, f"http://www.a.com/{i * 1000}/x") for i in range(200)], "page_id long, url string")
+    found = url_filter.judge(urls, url_filter.rule_table(spark, rules)).collect()
+    assert {(r.page_id, r.rule) for r in found} == {(i, f"a.com/{i * 1000}/" if i < 100 else "com/") for i in range(200)}

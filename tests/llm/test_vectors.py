@@ -146,3 +146,35 @@ def test_few_candidates_and_empty_tables(spark):
     none = vectors(spark, [])
     assert ann.search(none, none).count() == 0 and ann.search(two, none).count() == 0
     assert embed_dedup.near_duplicates(none).count() == 0
+
+
+def test_every_length_is_searched_by_itself(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.standard_normal(8).tolist(), 0) for i in range(300)]
+    odd = [(-1, [1.0, 2.0], 0), (500, [1.0, 2.5], 0), (501, [3.0, 2.0], 0), (502, [1.0, 2.0, 3.0], 0)]
+    table = vectors(spark, [*odd, *rows])
+    asked = [*range(0, 300, 6), -1, 502]
+    found = ann.search(table, table.where(F.col("vec_id").isin(asked)), k=3, probes=1.0).collect()
+    values = {i: np.array(v) for i, v, _ in [*odd, *rows]}
+    want = set()
+    for q in asked:
+        near = sorted((float(np.sqrt(((np.float32(values[q]) - np.float32(v)).astype(float) ** 2).sum())), i) for i, v in values.items() if i != q and len(v) == len(values[q]))
+        want |= {(q, rank, i) for rank, (_, i) in enumerate(near[:3], 1)}
+    assert {(r.query_id, r.rank, r.vec_id) for r in found} == want
+
+
+@pytest.mark.parametrize("clusters", [0, 40])
+def test_recall_of_many_queries(spark, clusters):
+    rng = np.random.default_rng(clusters)
+    values = rng.standard_normal((2000, 32))
+    if clusters:
+        values = rng.standard_normal((clusters, 32))[rng.integers(0, clusters, 2000)] * 3 + values * 0.5
+    values = values.astype(np.float32)
+    table = vectors(spark, [(i, v.tolist(), 0) for i, v in enumerate(values)])
+    found = ann.search(table, table.where("vec_id % 40 = 0"), k=10).collect()
+    hits = 0
+    for q in range(0, 2000, 40):
+        far = ((values.astype(float) - values[q]) ** 2).sum(1)
+        far[q] = np.inf
+        hits += len({r.vec_id for r in found if r.query_id == q} & set(np.argsort(far, kind="stable")[:10].tolist()))
+    assert hits >= 0.9 * 500
