@@ -33,14 +33,20 @@ def _where(docs: DataFrame, score: Column, holds: Callable[[Column], Column]) ->
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that the co-trained classifiers reject."""
+    """Drops documents that the co-trained classifiers reject.
+
+    Each row is judged by itself, rows without an id, with a null text or given twice like others; an empty table stays empty. Columns may have any names.
+    """
     model = quality.train(docs, _labels(spark, sf_dir))
     found = quality.quality(F.col("text"), [F.col(c) for c in quality.METADATA], model)
     return _where(docs, found["score"], lambda score: score >= LEAST_QUALITY)
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents in which the multiple-instance model finds an offending sentence."""
+    """Drops documents in which the multiple-instance model finds an offending sentence.
+
+    Each row is judged by itself; null and empty texts stay. An empty table stays empty. Columns may have any names.
+    """
     model = toxicity.train(docs, _labels(spark, sf_dir))
     found = toxicity.toxicity(F.col("text"), model)
     return _where(docs, found["score"], lambda score: score < TOXIC)
@@ -49,16 +55,30 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group of near duplicates.
 
-    Of rows with the same id one stays. Rows without an id cannot be told apart and all stay.
+    Of rows with that id the one whose content has the smallest hash stays. Rows without an id form groups among themselves; a
+    group stays, as one row, if no row with an id has its fingerprint.
     """
+    mark = free_name("_mark", docs.columns)
+    marked = docs.withColumn(mark, F.xxhash64(*docs.columns))
     found = simhash.near_duplicates(docs, shingle=3, max_distance=2)
-    first = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.select(*docs.columns).union(docs.where("doc_id is null"))
+    firsts = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    # What decides is settled on ids and hashes; texts only meet the result.
+    chosen = marked.select("doc_id", mark).join(firsts, "doc_id").groupBy("doc_id").agg(F.min(mark).alias(mark))
+    kept = marked.join(chosen, ["doc_id", mark], "left_semi").dropDuplicates(["doc_id", mark]).select(docs.columns)
+    nameless = marked.where("doc_id is null")
+    if nameless.isEmpty():
+        return kept
+    groups = simhash.near_duplicates(nameless.withColumn("doc_id", F.col(mark)), shingle=3, max_distance=2)
+    taken = found.where("doc_id is not null").select("fingerprint").distinct()
+    alone = groups.join(taken, "fingerprint", "left_anti").where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(mark))
+    return kept.union(nameless.join(alone, mark, "left_semi").dropDuplicates([mark]).select(docs.columns))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the remaining documents in sequences of 4096 tokens."""
+    """Pieces of the remaining documents in sequences of 4096 tokens.
+
+    Null texts count as empty; rows without an id, or with one id, are packed each for itself. An empty table gives no pieces.
+    """
     pieces = packing.pack(docs, size=4096, end_id=2)
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
