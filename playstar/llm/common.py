@@ -131,6 +131,26 @@ def groups(batches: Iterator[pa.RecordBatch], keys: list[str], least: int = 2) -
         yield held
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Sorted batches as tables that end where a group ends: many small groups at a time. Memory holds a batch and a group."""
+    held: pa.Table | None = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        if held is not None:
+            table = pa.concat_tables([held, table])
+        if not table.num_rows:
+            continue
+        last = np.ones(table.num_rows, bool)
+        for column in (table.column(key).to_numpy() for key in keys):
+            last &= column == column[-1]
+        start = table.num_rows - int(last.sum())
+        if start:
+            yield table.slice(0, start)
+        held = table.slice(start)
+    if held is not None:
+        yield held
+
+
 def spanning_edges(ids: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Links among ``ids`` (as index pairs) reduced to an edge from each linked id to the smallest of its set."""
     order = np.argsort(ids, kind="stable")

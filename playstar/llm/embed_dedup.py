@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playstar.llm.ann import matrix, takes_part, usable
-from playstar.llm.common import bounded_cells, by_group, extended, session_of, slices, spanning_edges
+from playstar.llm.common import bounded_cells, by_group, session_of, slices, spanning_edges, whole_groups
 from playstar.llm.components import connected_components
 from playstar.session import new_folder, store
 
@@ -20,6 +21,9 @@ TABLES = 6
 CODES = 2
 #: Buckets a vector is put into in each table: its own and the nearest others.
 PROBES = 3
+#: Random hyperplanes of a sketch, and the chance that a linked pair is lost because its sketches differ too much.
+SKETCH_BITS = 64
+LOST = 1e-6
 #: Vectors of a bucket that are compared in one block.
 CELL_ROWS = 1024
 #: Linked pairs whose buckets are compared at a time.
@@ -75,8 +79,27 @@ def buckets(vectors: np.ndarray, tables: int, codes: int, probes: int, seed: int
     return out
 
 
+def most_bits_apart(threshold: float) -> int:
+    """Bits of the sketches of two linked vectors that differ, but for a chance of LOST.
+
+    A random hyperplane parts two vectors with a probability of their angle over pi, each one independently.
+    """
+    p = math.acos(max(-1.0, min(1.0, threshold))) / math.pi
+    beyond, bits = 1.0, -1
+    while beyond > LOST and bits < SKETCH_BITS:
+        bits += 1
+        beyond -= math.comb(SKETCH_BITS, bits) * p**bits * (1 - p) ** (SKETCH_BITS - bits)
+    return bits
+
+
+def sketches(vectors: np.ndarray, seed: int = 13) -> np.ndarray:
+    """For each vector the sides of SKETCH_BITS random hyperplanes, as the bits of a long."""
+    planes = np.random.default_rng(seed).standard_normal((vectors.shape[1], SKETCH_BITS))
+    return np.packbits(vectors @ planes > 0, axis=1).view(np.int64)[:, 0]
+
+
 def _hashed(classes: DataFrame, tables: int, codes: int, probes: int) -> DataFrame:
-    """A row for each class and bucket it is put into."""
+    """Each class with the names of its buckets (table by table, its own first) and its sketch, without the vector."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -86,24 +109,65 @@ def _hashed(classes: DataFrame, tables: int, codes: int, probes: int) -> DataFra
                     part = batch.take(pa.array(np.flatnonzero(sizes == dims)))
                     n = part.num_rows
                     values = matrix(part.column("vector"), dims)
-                    names = buckets(values / np.linalg.norm(values, axis=1)[:, None], tables, codes, probes).reshape(n, -1)
-                    width = names.shape[1]
-                    lists = pa.ListArray.from_arrays(pa.array(np.arange(0, n * width + 1, width, dtype=np.int32)), pa.array(names.ravel()))
-                    copies = part.append_column("names", lists).take(pa.array(np.repeat(np.arange(n), width)))
+                    unit = values / np.linalg.norm(values, axis=1)[:, None]
+                    names = buckets(unit, tables, codes, probes).reshape(n, -1)
+                    lists = pa.ListArray.from_arrays(pa.array(np.arange(0, names.size + 1, names.shape[1], dtype=np.int32)), pa.array(names.ravel()))
                     yield pa.RecordBatch.from_arrays(
-                        [
-                            *copies.columns,
-                            pa.array(np.full(n * width, dims, np.int32)),
-                            pa.array(np.tile(np.repeat(np.arange(tables, dtype=np.int32), width // tables), n)),
-                            pa.array(names.ravel()),
-                            pa.array(np.tile(np.arange(width, dtype=np.int32) % (width // tables) == 0, n)),
-                        ],
-                        [*part.schema.names, "names", "dims", "table", "bucket", "own"],
+                        [part.column("class_id"), part.column("label"), pa.array(np.full(n, dims, np.int32)), lists, pa.array(sketches(unit))],
+                        ["class_id", "label", "dims", "names", "sketch"],
                     )
 
-    rows = classes.select("label", "member", "copies", "vector")
-    more = "names array<int>, dims int, table int, bucket int, own boolean"
-    return rows.mapInArrow(run, extended(rows, more))
+    rows = classes.select("class_id", "label", "vector")
+    return rows.mapInArrow(run, "class_id long, label string, dims int, names array<int>, sketch long")
+
+
+def _slots(tables: int) -> dict[str, Column]:
+    """What a place (``slot``) in the list of names stands for: table, bucket, and whether it is the own one."""
+    probes = F.call_function("div", F.size("names"), F.lit(tables)).cast("int")
+    return {
+        "table": F.call_function("div", F.col("slot"), probes).cast("int"),
+        "bucket": F.col("names")[F.col("slot")],
+        "own": F.col("slot") % probes == 0,
+    }
+
+
+def _candidates(hashed: DataFrame, tables: int, apart: int) -> DataFrame:
+    """``class_id`` and ``slots``: the buckets in which a class meets another whose sketch is near; others have no row.
+
+    Only ids, names of buckets and sketches are shuffled. Buckets are known by a 64-bit hash here: should two of them
+    share one, there are some candidates too many.
+    """
+    parts = _slots(tables)
+    rows = (
+        hashed.select("class_id", "sketch", "label", "dims", "names", F.posexplode("names").alias("slot", "_"))
+        .withColumn("bucket_id", F.xxhash64("label", "dims", parts["table"], parts["bucket"]))
+        .select("bucket_id", "class_id", "sketch", "slot", parts["own"].alias("own"))
+    )
+    key = ["bucket_id", "lo", "hi"]
+    cells = bounded_cells(rows, ["bucket_id"], "class_id", CELL_ROWS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for some in whole_groups(batches, key):
+            bucket, lo, hi, ids, sketch, slot, own, block = (
+                some.column(c).to_numpy() for c in (*key, "class_id", "sketch", "slot", "own", "block")
+            )
+            met, n = np.zeros(len(ids), bool), len(ids)
+            # Every row with the next one of its cell, the next but one, and so on, all cells together.
+            left, step = np.arange(n), 0
+            while len(left):
+                step += 1
+                left = left[left + step < n]
+                right = left + step
+                same = (bucket[left] == bucket[right]) & (lo[left] == lo[right]) & (hi[left] == hi[right])
+                left, right = left[same], right[same]
+                near = (own[left] | own[right]) & (np.bitwise_count((sketch[left] ^ sketch[right]).view(np.uint64)) <= apart)
+                near &= (lo[left] == hi[left]) | (block[left] != block[right])
+                met[left[near]] = met[right[near]] = True
+            if met.any():
+                yield pa.RecordBatch.from_arrays([pa.array(ids[met]), pa.array(slot[met])], ["class_id", "slot"])
+
+    found = cells.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "class_id long, slot int")
+    return found.groupBy("class_id").agg(F.collect_set("slot").alias("slots"))
 
 
 def _compare(threshold: float, tables: int):
@@ -112,7 +176,7 @@ def _compare(threshold: float, tables: int):
         if not own.any():
             return None
         dims, table, bucket, lo, hi = (group.column(c)[0].as_py() for c in ("dims", "table", "bucket", "lo", "hi"))
-        member, copies, block = (group.column(c).to_numpy() for c in ("member", "copies", "block"))
+        number, member, copies, block = (group.column(c).to_numpy() for c in ("class_id", "member", "copies", "block"))
         vectors = matrix(group.column("vector"), dims)
         norms = np.sqrt((vectors**2).sum(1))
         unit = vectors / norms[:, None]
@@ -137,8 +201,13 @@ def _compare(threshold: float, tables: int):
         roots = dict(zip(low.tolist(), root.tolist(), strict=True))
         ids = member[linked]
         return pa.RecordBatch.from_arrays(
-            [pa.array(ids), pa.array([roots.get(i, i) for i in ids.tolist()], pa.int64()), pa.array(links[linked].astype(np.int64))],
-            ["member", "root", "links"],
+            [
+                pa.array(number[linked]),
+                pa.array(ids),
+                pa.array([roots.get(i, i) for i in ids.tolist()], pa.int64()),
+                pa.array(links[linked].astype(np.int64)),
+            ],
+            ["class_id", "member", "root", "links"],
         )
 
     return handle
@@ -176,7 +245,9 @@ def near_duplicates(
     least ``threshold``. Pairs are sought in shared buckets and each is verified, so no link is false; the chance to
     miss one falls with more ``tables`` and ``probes``.
 
-    Equal vectors of a label are one class with a number of copies, so copies are never compared. A crowded
+    Equal vectors of a label are one class with a number of copies, so copies are never compared. Buckets are first
+    looked through without vectors: a class goes on with those in which it meets one whose sketch (sides of SKETCH_BITS random
+    hyperplanes) is near enough; a linked pair fails this with a chance of LOST. Only for these the vectors are fetched. A crowded
     bucket is cut into cells (`bounded_cells`). A pair counts in the first bucket where it meets, so links are
     summed per vector and no list of pairs is made: a cell gives each of its rows once, with the root of its links.
 
@@ -191,15 +262,20 @@ def near_duplicates(
     digest = F.md5(F.array_join(F.col("vector").cast("array<string>"), " ").cast("binary"))
     taking_part = usable(given.where("label is not null"), "vec_id", "embedding", "label").withColumn("digest", digest)
     classes = store(
-        taking_part.groupBy("label", "digest").agg(
-            F.min("vec_id").alias("member"), F.count(F.lit(1)).alias("copies"), F.first("vector").alias("vector")
-        ),
+        taking_part.groupBy("label", "digest")
+        .agg(F.min("vec_id").alias("member"), F.count(F.lit(1)).alias("copies"), F.first("vector").alias("vector"))
+        .withColumn("class_id", F.monotonically_increasing_id()),
         new_folder(spark, "classes"),
     )
+    hashed = store(_hashed(classes, tables, codes, probes), new_folder(spark, "hashed"))
+    candidates = store(_candidates(hashed, tables, most_bits_apart(threshold)), new_folder(spark, "candidates"))
+    meeting = hashed.drop("sketch").join(candidates, "class_id").withColumn("slot", F.explode("slots"))
+    placed = meeting.select("class_id", "label", "dims", "names", *[c.alias(name) for name, c in _slots(tables).items()])
     key = ["label", "dims", "table", "bucket"]
-    cells = bounded_cells(_hashed(classes, tables, codes, probes), key, "member", CELL_ROWS)
+    rows = placed.join(classes.select("class_id", "member", "copies", "vector"), "class_id")
+    cells = bounded_cells(rows, key, "class_id", CELL_ROWS)
     found = store(
-        by_group(cells, [*key, "lo", "hi"], _compare(threshold, tables), "member long, root long, links long"),
+        by_group(cells, [*key, "lo", "hi"], _compare(threshold, tables), "class_id long, member long, root long, links long"),
         new_folder(spark, "found"),
     )
     # An id that is given with several vectors links their classes.
@@ -214,7 +290,7 @@ def near_duplicates(
     components = connected_components(found.select("member", "root").union(own), "member", "root")
     of_class = (
         classes.drop("vector")
-        .join(found.groupBy("member").agg(F.sum("links").alias("links")), "member", "left")
+        .join(found.groupBy("class_id").agg(F.sum("links").alias("links")), "class_id", "left")
         .join(components, F.col("member") == F.col("node"), "left")
         .select(
             "label", "digest",

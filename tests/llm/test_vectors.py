@@ -62,6 +62,40 @@ def test_whole_table_equals_brute_force(spark, sf_dir):
     assert {(r.vec_id, r.n_links, r.component_id) for r in found} == {(i, count[i], component[i]) for i in ids}
 
 
+def test_thousands_of_links_around_the_threshold(spark):
+    rng = np.random.default_rng(8)
+    middle = rng.standard_normal((400, 64))[np.minimum(rng.integers(0, 600, 3000), 399)]  # a third of all around one
+    values = (middle + rng.standard_normal((3000, 64)) * rng.choice((0.08, 0.14, 0.6), (3000, 1))).astype(np.float32)
+    label = rng.integers(0, 2, 3000)
+    unit = values.astype(float) / np.sqrt((values.astype(float) ** 2).sum(1))[:, None]
+    linked = (unit @ unit.T >= 0.98) & (label[:, None] == label)
+    np.fill_diagonal(linked, False)
+    assert linked.sum() > 20_000
+    pairs = [(int(a), int(b)) for a, b in zip(*np.nonzero(linked), strict=True)]
+    component = smallest_reachable(range(3000), pairs)
+    found = embed_dedup.near_duplicates(vectors(spark, [(i, v.tolist(), int(x)) for i, (v, x) in enumerate(zip(values, label, strict=True))])).collect()
+    got = np.zeros(3000, int)
+    for r in found:
+        got[r.vec_id] = r.n_links
+    assert len(found) == 3000 and (got <= linked.sum(1)).all()
+    assert got.sum() >= 0.995 * linked.sum()
+    assert sum(r.component_id == component[r.vec_id] for r in found) >= 2990
+
+
+@pytest.mark.parametrize("dims", [2, 5, 64])
+def test_sketches_of_linked_vectors_are_near(dims):
+    apart = embed_dedup.most_bits_apart(0.98)
+    assert apart < 24 and embed_dedup.most_bits_apart(-1.0) == embed_dedup.SKETCH_BITS
+    rng = np.random.default_rng(dims)
+    a, other = rng.standard_normal((2, 50_000, dims))
+    a /= np.linalg.norm(a, axis=1)[:, None]
+    other -= (a * other).sum(1)[:, None] * a
+    other /= np.linalg.norm(other, axis=1)[:, None]
+    b = 0.98 * a + np.sqrt(1 - 0.98**2) * other  # exactly at the threshold
+    differ = np.bitwise_count((embed_dedup.sketches(a) ^ embed_dedup.sketches(b)).view(np.uint64))
+    assert (differ > apart).sum() <= 5
+
+
 def test_hadamard_and_rotation_keep_distances():
     rows = np.random.default_rng(2).standard_normal((20, 64))
     for turned in (embed_dedup.hadamard(rows), rows @ ann.rotation(64)):
