@@ -13,10 +13,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playstar.functions.moments import clock_key, date_key, epoch_timestamp
+from playstar.operators.joins import left_join_in_blocks
 from playstar.operators.keys import arrival_keys, ranked_keys
 from playstar.schemas import PRIMARY_KEYS, natural_columns, table_schema
 from playstar.session import store, together
 
+#: Songs of one title and artist that one block of the song lookup takes.
+SONG_BLOCK_ROWS = 100_000
+
 # Takes a table name and its rows, writes them, and returns the written rows.
 Sink = Callable[[str, DataFrame], DataFrame]
 
@@ -113,8 +117,8 @@ ARTIST_ORDER = ["artist_id", "artist_name", "artist_location", "artist_latitude"
 
 def _resolve(names: DataFrame, artist: DataFrame, song: DataFrame) -> DataFrame:
     """``names`` with the keys of each artist of that name and of its song, if known."""
-    same_song = (F.col("song") == F.col("song_title")) & (F.col("artist_id") == F.col("song_artist_id"))
-    return names.join(artist, F.col("artist") == F.col("artist_name")).join(song, same_song, "left")
+    by_artist = names.join(artist, F.col("artist") == F.col("artist_name"))
+    return left_join_in_blocks(by_artist, song, {"song": "song_title", "artist_id": "song_artist_id"}, spread_by="song_key", block_rows=SONG_BLOCK_ROWS)
 
 
 def songplay_rows(

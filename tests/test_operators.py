@@ -6,6 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from playstar.operators.joins import left_join_in_blocks
 from playstar.operators.keys import arrival_keys, extend_dimension, next_key, ranked_keys
 from playstar.operators.quality import fk_orphans, null_profile, pk_duplicates, table_counts
 from playstar.operators.sets import difference, head
@@ -136,3 +137,20 @@ def test_key_reports_find_what_is_wrong(spark):
     assert set(orphans.values()) == {0}
     counts = {r.table_name: r.row_count for r in table_counts(tables).collect()}
     assert counts["dim_user"] == 6 and counts["dim_date"] == 0
+
+
+KEY = st.none() | st.sampled_from("xyz")
+
+
+@SOME
+@given(st.lists(st.tuples(KEY, st.integers(0, 2)), max_size=25), st.lists(st.tuples(KEY, st.integers(0, 2), st.integers(0, 9)), max_size=40))
+def test_left_join_in_blocks_equals_a_plain_one(spark, left, right):
+    a = spark.createDataFrame(left, "a string, n int")
+    b = spark.createDataFrame(right, "b string, m int, v int")
+    got = left_join_in_blocks(a, b, {"a": "b", "n": "m"}, spread_by="v", block_rows=3)
+    assert got.columns == ["a", "n", "b", "m", "v"]
+    want = []
+    for x, n in left:
+        found = [(x, n, *row) for row in right if x is not None and row[:2] == (x, n)]
+        want += found or [(x, n, None, None, None)]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
