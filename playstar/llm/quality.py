@@ -9,7 +9,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from playstar.llm.common import session_of
@@ -23,6 +23,8 @@ SURE = 0.97
 #: Pseudo-labels given of each kind in a round, at most, and their weight.
 GIVEN = 400
 PSEUDO_WEIGHT = 0.5
+#: Pieces in which the surest rows of all tasks are merged first.
+MERGED_BY = 256
 #: Places that the values of a metadata column are hashed to.
 PLACES = 32
 
@@ -233,9 +235,8 @@ def _pages(metadata: list[pa.Array], count: int) -> np.ndarray:
     return np.array([page_features(list(row)) for row in values], float).reshape(count, -1)
 
 
-def _features(batch_text: pa.Array, metadata: list[pa.Array]) -> tuple[np.ndarray, np.ndarray]:
-    text = np.array([text_features(t.as_py() or "") for t in batch_text], float).reshape(len(batch_text), -1)
-    return text, _pages(metadata, len(batch_text))
+def _text_rows(texts: pa.Array) -> np.ndarray:
+    return np.array([text_features(t.as_py() or "") for t in texts], float).reshape(len(texts), -1)
 
 
 def _both(batch: pa.RecordBatch | pa.Table) -> list[np.ndarray]:
@@ -244,6 +245,12 @@ def _both(batch: pa.RecordBatch | pa.Table) -> list[np.ndarray]:
     return [text, _pages(batch.columns[3:], batch.num_rows)]
 
 
+def _surest_rows(rows: DataFrame, *group: str) -> DataFrame:
+    """The GIVEN rows of each group that `best` would take."""
+    place = F.row_number().over(Window.partitionBy(*group).orderBy(F.desc("sure"), "doc_id", "key"))
+    return rows.withColumn("place", place).where(F.col("place") <= GIVEN).drop("place")
+
+
 def among_all(others: DataFrame) -> Surest:
     """`Surest` of a stored table, scored by Spark tasks. A task gives ids of GIVEN rows at most of each kind and view."""
 
@@ -268,7 +275,10 @@ def among_all(others: DataFrame) -> Surest:
                 columns = [pa.array([v] * n, pa.int32()), pa.array([kind] * n, pa.int32()), *map(pa.array, ids[v, kind]), pa.array(sure)]
                 yield pa.RecordBatch.from_arrays(columns, ["view", "kind", "key", "doc_id", "sure"])
 
-        found = others.mapInArrow(run, "view int, kind int, key long, doc_id long, sure double").toArrow()
+        surest_of_tasks = others.mapInArrow(run, "view int, kind int, key long, doc_id long, sure double")
+        # Merged in two steps, so that neither one task nor the driver gets the rows of all tasks.
+        pieces = surest_of_tasks.withColumn("piece", F.pmod(F.xxhash64("key"), F.lit(MERGED_BY)))
+        found = _surest_rows(_surest_rows(pieces, "view", "kind", "piece"), "view", "kind").drop("piece").toArrow()
         view, kind, keys, ids, sure = (column.to_numpy() for column in found.columns)
         chosen = {}
         for v in (0, 1):
@@ -299,21 +309,19 @@ def train(
     Rows outside the sample count as unlabelled, also those with a label or without an id. Their features are written once and
     scored in each round. Without labels of both kinds, every document gets the share of good labels (1 without any).
     """
+    return _trained(_stored_features(docs, doc_id, text, metadata), labels, doc_id, label)
+
+
+def _stored_features(docs: DataFrame, doc_id: str, text: str, metadata: tuple[str, ...]) -> DataFrame:
+    """``key``, ``doc_id``, text features (``text``) and metadata (``m0``, ``m1`` ...) of every row, written once."""
     spark = session_of(docs)
-    marked = labels.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(label).cast("int").alias("mark"))
-    marked = marked.where("doc_id is not null and mark in (0, 1)").groupBy("doc_id").agg(F.min("mark").alias("mark"))
-    drawn = store(marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_LABELLED), new_folder(spark, "labelled"))
 
     @F.arrow_udf("array<double>")
     def read(texts: pa.Array) -> pa.Array:
         return pa.array([text_features(t.as_py() or "") for t in texts], pa.list_(pa.float64()))
 
-    @F.arrow_udf("array<double>")
-    def seen(first: pa.Array, *columns: pa.Array) -> pa.Array:
-        return pa.array(list(_pages(list(columns), len(first))), pa.list_(pa.float64()))
-
     values = [F.col(c).cast("string") if kind == "void" else F.col(c) for c in metadata for kind in [dict(docs.dtypes).get(c)]]
-    features = store(
+    return store(
         docs.select(
             F.monotonically_increasing_id().alias("key"),
             F.col(doc_id).cast("long").alias("doc_id"),
@@ -322,6 +330,18 @@ def train(
         ),
         new_folder(spark, "features"),
     )
+
+
+def _trained(features: DataFrame, labels: DataFrame, doc_id: str, label: str) -> Model:
+    spark = features.sparkSession
+    marked = labels.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(label).cast("int").alias("mark"))
+    marked = marked.where("doc_id is not null and mark in (0, 1)").groupBy("doc_id").agg(F.min("mark").alias("mark"))
+    drawn = store(marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_LABELLED), new_folder(spark, "labelled"))
+
+    @F.arrow_udf("array<double>")
+    def seen(first: pa.Array, *columns: pa.Array) -> pa.Array:
+        return pa.array(list(_pages(list(columns), len(first))), pa.list_(pa.float64()))
+
     sample = (
         features.join(F.broadcast(drawn), "doc_id")
         .select("doc_id", "mark", F.struct("text", seen("key", *features.columns[3:]).alias("page")).alias("found"))
@@ -337,19 +357,27 @@ def train(
     return cotrain(*sides, np.array([r["mark"] for r in sample]), among_all(others))
 
 
+SCORES = "struct<score: double, text_score: double, page_score: double>"
+
+
+def _scores(model: Model, text: Callable[[], np.ndarray], rows: pa.Array, metadata: tuple[pa.Array, ...]) -> pa.Array:
+    both = model.scores(text(), _pages(list(metadata), len(rows))) if len(rows) else (np.zeros(0),) * 3
+    return pa.StructArray.from_arrays([pa.array(s) for s in both], ["score", "text_score", "page_score"])
+
+
+def _judged(rows: DataFrame, threshold: float) -> DataFrame:
+    return rows.select("doc_id", "found.*").withColumn("keep", F.col("score") >= threshold)
+
+
 def quality(text: Column, metadata: list[Column], model: Model) -> Column:
     """A struct of the combined ``score`` (0 to 1, higher is better) and those of the two views.
 
     Whole texts. Null and empty texts have the features of an empty text; null metadata are a value of their own.
     """
 
-    @F.arrow_udf("struct<score: double, text_score: double, page_score: double>")
+    @F.arrow_udf(SCORES)
     def scored(texts: pa.Array, *columns: pa.Array) -> pa.Array:
-        if not len(texts):
-            both = (np.zeros(0),) * 3
-        else:
-            both = model.scores(*_features(texts, list(columns)))
-        return pa.StructArray.from_arrays([pa.array(s) for s in both], ["score", "text_score", "page_score"])
+        return _scores(model, lambda: _text_rows(texts), texts, columns)
 
     return scored(text.cast("string"), *metadata)
 
@@ -363,5 +391,25 @@ def score(
     """
     session_of(docs)
     found = quality(F.col(text), [F.col(c) for c in metadata], model)
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), found.alias("found")).select("doc_id", "found.*")
-    return rows.withColumn("keep", F.col("score") >= threshold)
+    return _judged(docs.select(F.col(doc_id).cast("long").alias("doc_id"), found.alias("found")), threshold)
+
+
+def train_and_score(
+    docs: DataFrame,
+    labels: DataFrame,
+    threshold: float = 0.5,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    metadata: tuple[str, ...] = METADATA,
+    label: str = "quality",
+) -> DataFrame:
+    """What ``score(docs, train(docs, labels))`` gives, from one reading of the texts: their stored features are scored."""
+    features = _stored_features(docs, doc_id, text, metadata)
+    model = _trained(features, labels, doc_id, label)
+
+    @F.arrow_udf(SCORES)
+    def scored(texts: pa.Array, *columns: pa.Array) -> pa.Array:
+        return _scores(model, lambda: np.array(texts.to_pylist(), float).reshape(len(texts), -1), texts, columns)
+
+    found = scored("text", *features.columns[3:])
+    return _judged(features.select("doc_id", found.alias("found")), threshold)

@@ -85,8 +85,7 @@ def op8_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
-    return quality.score(docs, quality.train(docs, _table(spark, sf_dir, "labels")), threshold=0.3)
+    return quality.train_and_score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), threshold=0.3)
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -95,6 +95,8 @@ def test_quality_on_rows_outside_the_sample(tables, monkeypatch):
     docs, labels = tables
     monkeypatch.setattr(quality, "SAMPLE_LABELLED", 200)
     found = {r.doc_id: r for r in quality.score(docs, quality.train(docs, labels), threshold=0.3).collect()}
+    at_once = {r.doc_id: r for r in quality.train_and_score(docs, labels, threshold=0.3).collect()}
+    assert at_once.keys() == found.keys() and all(abs(at_once[i].score - r.score) < 1e-9 for i, r in found.items())
     truth = {r.doc_id: r.quality for r in labels.collect()}
     good = [found[i].keep for i, q in truth.items() if q == 1]
     bad = [found[i].keep for i, q in truth.items() if q == 0]
@@ -162,6 +164,7 @@ def test_awkward_rows_and_empty_tables(spark, tables):
             assert sorted(str(r.doc_id) for r in scored) == sorted(str(i) for i, _ in rows)
     empty = documents(spark, [])
     assert quality.score(empty, quality.train(empty, labels)).count() == 0
+    assert quality.train_and_score(empty, labels).count() == 0
     assert toxicity.score(empty, toxicity.train(empty, labels)).count() == 0
 
 
