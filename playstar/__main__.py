@@ -81,7 +81,8 @@ def run(spark: SparkSession, step: str, options: argparse.Namespace) -> None:
         else:
             lifecycle.refresh(spark, options.db, staging.rows("staging_song_log"), staging.rows("staging_song_data"))
     elif step == "report":
-        print_report(lifecycle.tables_of(spark, options.db))
+        grown = GrowingDatabase(spark, options.db, IncrementalStaging(spark, options.staging)) if options.staging else None
+        print_report(lifecycle.tables_of(spark, options.db), grown.reports() if grown and grown.numbers() else None)
 
 
 if __name__ == "__main__":

@@ -225,6 +225,13 @@ _LINKS = (
     ("dim_song", "artist_key", "SELECT artist_key AS key FROM dim_song", "SELECT artist_key AS key FROM dim_artist"),
 )
 
+_ORPHANS = " UNION ALL ".join(
+    f"""SELECT '{child}' AS table_name, '{column}' AS column_name,
+               (SELECT count(*) FROM ({used}) AS u WHERE u.key IS NOT NULL
+                AND NOT EXISTS (SELECT 1 FROM ({known}) AS k WHERE k.key = u.key)) AS orphan_rows"""
+    for child, column, used, known in _LINKS
+)
+
 _PLAYS_PER_HALF = """
     SELECT seconds.am_pm, count(*) AS song_plays
     FROM fact LEFT JOIN seconds ON seconds.time_key = {clock}
@@ -310,12 +317,9 @@ def oracle_statements() -> dict[str, str]:
             FROM song_log""",
         "null_profile_log": _null_profile("song_log", "song_log_id", {c: f'"{c}"' for c in _LOG_COLUMNS}),
         "null_profile_fact": _null_profile("fact", "songplay_key", {c: c for c in _FACT_COLUMNS}),
-        "fk_orphans": " UNION ALL ".join(
-            f"""SELECT '{child}' AS table_name, '{column}' AS column_name,
-                       (SELECT count(*) FROM ({used}) AS u WHERE u.key IS NOT NULL
-                        AND NOT EXISTS (SELECT 1 FROM ({known}) AS k WHERE k.key = u.key)) AS orphan_rows"""
-            for child, column, used, known in _LINKS
-        ),
+        "fk_orphans": _ORPHANS,
+        "checks_incremental": _ORPHANS,
+        "report_incremental": "SELECT * FROM day_counts",
         "pk_duplicates": """
             SELECT table_name, 0 AS duplicate_keys FROM sizes
             UNION ALL

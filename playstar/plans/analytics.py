@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playstar.functions.moments import micros_of, second_of_day
 from playstar.operators.windows import top_per_group
 
 
-def _plays_by_half_day(with_key: DataFrame, dim_time: DataFrame) -> DataFrame:
+def plays_by_half_day(with_key: DataFrame, dim_time: DataFrame, plays: Column | None = None) -> DataFrame:
+    """Rows of ``with_key`` per half of the day that its ``clock`` falls in, or the sum of ``plays`` over them."""
     # dim_time has one row per second of a day and never grows: always broadcast.
     halves = F.broadcast(dim_time.select("time_key", "am_pm"))
     return (
         with_key.join(halves, F.col("clock") == F.col("time_key"), "left")
         .groupBy("am_pm")
-        .agg(F.count(F.lit(1)).alias("song_plays"))
+        .agg((F.count(F.lit(1)) if plays is None else F.sum(plays)).alias("song_plays"))
         .orderBy(F.col("am_pm").asc_nulls_last())
     )
 
@@ -26,12 +27,12 @@ def plays_by_am_pm(fact_songplay: DataFrame, dim_time: DataFrame) -> DataFrame:
     The fact's key is HHMMSS, the dimension's counts seconds: plays after 09:00
     find no row and end up under NULL, earlier ones find another second.
     """
-    return _plays_by_half_day(fact_songplay.select(F.col("start_time_key").alias("clock")), dim_time)
+    return plays_by_half_day(fact_songplay.select(F.col("start_time_key").alias("clock")), dim_time)
 
 
 def plays_by_am_pm_fixed(fact_songplay: DataFrame, dim_time: DataFrame) -> DataFrame:
     """Plays per half of the day by the second they really started."""
-    return _plays_by_half_day(fact_songplay.select(second_of_day(F.col("start_datetime")).alias("clock")), dim_time)
+    return plays_by_half_day(fact_songplay.select(second_of_day(F.col("start_datetime")).alias("clock")), dim_time)
 
 
 def plays_by_hour(fact_songplay: DataFrame) -> DataFrame:
@@ -43,6 +44,25 @@ def plays_by_hour(fact_songplay: DataFrame) -> DataFrame:
     )
 
 
+def with_daytype(fact_songplay: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """(is_weekday, artist_key, song_key) of every play."""
+    # The date dimension is bounded by the range it is generated for.
+    day_types = F.broadcast(dim_date.select("date_key", "is_weekday"))
+    keys = fact_songplay.select("start_date_key", "artist_key", "song_key")
+    dated = keys.join(day_types, F.col("start_date_key") == F.col("date_key"), "left")
+    return dated.select("is_weekday", "artist_key", "song_key")
+
+
+def named_counts(per_key: DataFrame, dim_artist: DataFrame, dim_song: DataFrame) -> DataFrame:
+    """``plays`` per day type, artist key and song key, under the names of artist and song."""
+    return (
+        per_key.join(dim_artist.select("artist_key", "artist_name"), "artist_key", "left")
+        .join(dim_song.select("song_key", "song_title"), "song_key", "left")
+        .groupBy("is_weekday", "song_title", "artist_name")
+        .agg(F.sum("plays").alias("songplay_count"))
+    )
+
+
 def song_artist_daytype_counts(
     fact_songplay: DataFrame, dim_artist: DataFrame, dim_song: DataFrame, dim_date: DataFrame
 ) -> DataFrame:
@@ -52,27 +72,23 @@ def song_artist_daytype_counts(
     shuffled and joined grows with the catalogue and not with the plays. The
     dimensions are joined on their keys, so the counts only have to be summed.
     """
-    # The date dimension is bounded by the range it is generated for.
-    day_types = F.broadcast(dim_date.select("date_key", "is_weekday"))
     per_key = (
-        fact_songplay.select("start_date_key", "artist_key", "song_key")
-        .join(day_types, F.col("start_date_key") == F.col("date_key"), "left")
+        with_daytype(fact_songplay, dim_date)
         .groupBy("is_weekday", "artist_key", "song_key")
         .agg(F.count(F.lit(1)).alias("plays"))
     )
-    return (
-        per_key.join(dim_artist.select("artist_key", "artist_name"), "artist_key", "left")
-        .join(dim_song.select("song_key", "song_title"), "song_key", "left")
-        .groupBy("is_weekday", "song_title", "artist_name")
-        .agg(F.sum("plays").alias("songplay_count"))
-    )
+    return named_counts(per_key, dim_artist, dim_song)
 
 
 def top_song_by_daytype(
     fact_songplay: DataFrame, dim_artist: DataFrame, dim_song: DataFrame, dim_date: DataFrame
 ) -> DataFrame:
     """The most played song of weekdays and of weekends; ties go by title, then artist."""
-    counts = song_artist_daytype_counts(fact_songplay, dim_artist, dim_song, dim_date)
+    return most_played(song_artist_daytype_counts(fact_songplay, dim_artist, dim_song, dim_date))
+
+
+def most_played(counts: DataFrame) -> DataFrame:
+    """The first song of each day type in ``song_artist_daytype_counts``."""
     best_first = [
         F.desc("songplay_count"),
         F.col("song_title").asc_nulls_last(),

@@ -19,7 +19,8 @@ def report(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
-def print_report(tables: dict[str, DataFrame]) -> None:
-    for title, answer in report(tables).items():
+def print_report(tables: dict[str, DataFrame], ready: dict[str, DataFrame] | None = None) -> None:
+    """Print all answers; those that are ``ready`` take the place of answers from the tables."""
+    for title, answer in (report(tables) | (ready or {})).items():
         print(title)
         answer.show(truncate=False)

@@ -486,9 +486,9 @@ def load_timing_own(spark, sf_dir):
     return timing.select("query", "processed_files", (F.col("avg_time_per_file") > 0).alias("takes_time"))
 
 
-@query
-def incremental_star(spark, sf_dir):
-    """The tables of a database that has grown by two waves of files; plays with what they refer to, without keys.
+@contextmanager
+def _grown(spark, sf_dir):
+    """A database that has grown by two waves of files.
 
     Many plays of the first wave refer to songs, artists and user rows of the second, and some come again in it.
     """
@@ -501,13 +501,21 @@ def incremental_star(spark, sf_dir):
     staging = IncrementalStaging(spark, root)
     with _own_database(spark) as db:
         lifecycle.reset(spark, db)
+        grown = GrowingDatabase(spark, db, staging)
         for wave, (plays, records) in enumerate(waves):
             _log_as_json(plays, f"{logs}/{wave}")
             staging.load_new(logs, LOG_MAPPING)
             records.write.json(f"{songs}/{wave}")
             staging.load_new(songs, SONG_MAPPING)
-            GrowingDatabase(spark, db, staging).grow()
-        tables = lifecycle.tables_of(spark, db)
+            grown.grow()
+        yield grown
+
+
+@query
+def incremental_star(spark, sf_dir):
+    """The tables of a grown database; plays with what they refer to, without keys."""
+    with _grown(spark, sf_dir) as grown:
+        tables = lifecycle.tables_of(spark, grown.db)
         plays = tables["fact_songplay"]
         for name, key in (("dim_user", "user_key"), ("dim_artist", "artist_key")):
             plays = plays.join(tables[name], key, "left")
@@ -515,6 +523,20 @@ def incremental_star(spark, sf_dir):
         return store(plays.drop("songplay_key", "user_key", "artist_key", "song_key"), new_folder(spark, "grown"))
 
 
+@query
+def report_incremental(spark, sf_dir):
+    """Plays by day type, song and artist of a grown database, from the counts its batches have carried along."""
+    with _grown(spark, sf_dir) as grown:
+        return store(grown.reports()["song_artist_daytype_counts"], new_folder(spark, "report"))
+
+
+@query
+def checks_incremental(spark, sf_dir):
+    """Orphans of a grown database's references, from the state its batches have carried along."""
+    with _grown(spark, sf_dir) as grown:
+        return store(grown.reports()["fk_orphans"], new_folder(spark, "report"))
+
+
 @query
 def incremental_errors(spark, sf_dir):
     """Broken records spread over several manifests, counted against one budget for the run.

@@ -6,9 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from playstar.__main__ import main
-from playstar.plans import growing, lifecycle
+from playstar.operators import quality
+from playstar.plans import analytics, growing, lifecycle
 from playstar.plans.growing import AnotherRun, GrowingDatabase, kept_plays, those_of
 from playstar.plans.incremental import IncrementalStaging
+from playstar.plans.running import FACT, RUNNING, STATES, orphans_after, references, repeated_after
 from playstar.schemas import LOG_MAPPING, SONG_MAPPING, natural_columns
 from tests.samples import SONGS, play, write_lines
 
@@ -37,6 +39,23 @@ def facts(tables):
     return sorted(map(str, rows.drop("songplay_key", "user_key", "artist_key", "song_key").collect()))
 
 
+def carried(grown, tables):
+    """What batches have carried along, next to the same from whole tables."""
+    names = ("fact_songplay", "dim_artist", "dim_song", "dim_date")
+    whole = {
+        "song_artist_daytype_counts": analytics.song_artist_daytype_counts(*(tables[n] for n in names)),
+        "top_song_by_daytype": analytics.top_song_by_daytype(*(tables[n] for n in names)),
+        "plays_by_am_pm": analytics.plays_by_am_pm(tables["fact_songplay"], tables["dim_time"]),
+        "plays_by_hour": analytics.plays_by_hour(tables["fact_songplay"]),
+        "fk_orphans": quality.fk_orphans(tables),
+        "pk_duplicates": quality.pk_duplicates({n: t for n, t in tables.items() if n not in ("dim_time", "dim_date")}),
+    }
+    found = grown.reports()
+    assert whole.keys() == found.keys()
+    rows = lambda answers: {n: sorted(map(str, df.collect())) for n, df in answers.items()}
+    return rows(found), rows(whole)
+
+
 def loaded(spark, db):
     """Everything in the database's tables that does not depend on the numbers of keys."""
     tables = lifecycle.tables_of(spark, db)
@@ -72,7 +91,8 @@ def test_batches_end_where_one_load_ends(spark, db, tmp_path):
     arriving, grown = Arriving(spark, tmp_path), GrowingDatabase(spark, db, IncrementalStaging(spark, str(tmp_path / "root")))
     assert grown.grow() == 0
     arriving.take(plays(0, 12), SONGS[:2])
-    arriving.take(plays(12, 6, month=1) + [play(ts=None, itemInSession=99)])
+    # One without a time, and one at half past ten, whose time of day is no key of its dimension.
+    arriving.take(plays(12, 6, month=1) + [play(ts=None, itemInSession=99), play(ts=MONTHS[0] + 36_000_000)])
     assert grown.grow() == 1 and grown.grow() == 0
     before = {t: set(map(tuple, spark.table(f"{db}.{t}").collect())) for t in ("dim_user", "dim_artist", "dim_song")}
     # New songs and artists for plays that have been there, a second song of an artist, and a new level of a user.
@@ -83,6 +103,8 @@ def test_batches_end_where_one_load_ends(spark, db, tmp_path):
     assert loaded(spark, db) == in_one_go(spark, arriving.staging)
     for table, rows in before.items():
         assert rows <= set(map(tuple, spark.table(f"{db}.{table}").collect()))
+    found, whole = carried(grown, lifecycle.tables_of(spark, db))
+    assert found == whole and any("orphan_rows=0" not in row for row in found["fk_orphans"])
     # Records that have all been there change nothing but staging.
     fact = sorted(map(str, spark.table(f"{db}.fact_songplay").collect()))
     arriving.take(plays(0, 12))
@@ -136,6 +158,8 @@ def test_every_step_may_be_the_last_of_a_run(spark, db, tmp_path, monkeypatch):
     monkeypatch.undo()
     grown.grow()
     assert loaded(spark, db) == in_one_go(spark, arriving.staging)
+    found, whole = carried(grown, lifecycle.tables_of(spark, db))
+    assert found == whole
 
 
 def test_a_batch_leaves_other_months_alone(spark, db, tmp_path, monkeypatch):
@@ -176,6 +200,61 @@ def test_many_folders_become_one(spark, db, tmp_path, monkeypatch):
     version = grown.version()
     assert max(map(len, version.folders.values())) == 1 and len(version.months["201811"]) <= 2
     assert loaded(spark, db) == in_one_go(spark, arriving.staging)
+    found, whole = carried(grown, lifecycle.tables_of(spark, db))
+    assert found == whole
+
+
+def test_reports_do_not_read_the_fact(spark, db, tmp_path):
+    arriving = Arriving(spark, tmp_path)
+    grown = GrowingDatabase(spark, db, arriving.staging)
+    empty, whole = carried(grown, lifecycle.tables_of(spark, db))
+    assert empty == whole
+    arriving.take(plays(0, 8), SONGS)
+    grown.grow()
+    for answer in grown.reports().values():
+        assert not [f for f in answer.inputFiles() if "/added/" in f or "/kept/" in f or "staging" in f]
+
+
+def test_a_database_without_counts_gets_them(spark, db, tmp_path, monkeypatch):
+    arriving = Arriving(spark, tmp_path)
+    grown = GrowingDatabase(spark, db, arriving.staging)
+    arriving.take(plays(0, 8), SONGS[:2])
+    publish = GrowingDatabase._publish
+
+    def without(self, version):
+        for name in (*RUNNING, *STATES):
+            version.folders.pop(name)
+        publish(self, version)
+
+    monkeypatch.setattr(GrowingDatabase, "_publish", without)
+    grown.grow()
+    monkeypatch.undo()
+    arriving.take(plays(5, 9, month=1), SONGS[2:])
+    grown.grow()
+    found, whole = carried(grown, lifecycle.tables_of(spark, db))
+    assert found == whole
+
+
+def test_orphans_come_and_go(spark):
+    fact = lambda *keys: spark.createDataFrame([(20181115, None, k, 1, None) for k in keys], "start_date_key int, start_time_key int, user_key long, artist_key long, song_key long")
+    parent = lambda name, *keys: spark.createDataFrame([(k,) for k in keys], f"{name} long")
+    parents = {"dim_date": parent("date_key", 20181115), "dim_time": parent("time_key"), "dim_artist": parent("artist_key", 1), "dim_song": parent("song_key")}
+    none = spark.createDataFrame([], STATES["orphans"])
+    first = orphans_after(none, references(fact(1, 2, 2, 3, None), FACT, 1), parents | {"dim_user": parent("user_key", 1)})
+    assert sorted(map(tuple, first.collect())) == [(FACT, "user_key", 2, 2), (FACT, "user_key", 3, 1)]
+    # One play of user 2 is withdrawn, user 3 arrives, and a play of user 4.
+    changes = references(fact(2), FACT, -1).union(references(fact(4, 1), FACT, 1))
+    second = orphans_after(first, changes, parents | {"dim_user": parent("user_key", 1, 3)})
+    assert sorted(map(tuple, second.collect())) == [(FACT, "user_key", 2, 1), (FACT, "user_key", 4, 1)]
+
+
+def test_repeated_keys_come_and_go(spark):
+    users = lambda *keys: spark.createDataFrame([(k,) for k in keys], "user_key long")
+    none = spark.createDataFrame([], STATES["repeated_keys"])
+    first = repeated_after(none, {"dim_user": users(5, 6, 6, 2)}, {"dim_user": 5}, {"dim_user": users(1, 2, 5, 6, 6, 2)})
+    assert sorted(map(tuple, first.collect())) == [("dim_user", 2, 2), ("dim_user", 6, 2)]
+    second = repeated_after(first, {"dim_user": users(7)}, {"dim_user": 7}, {"dim_user": users(1, 2, 5, 6, 6, 7)})
+    assert sorted(map(tuple, second.collect())) == [("dim_user", 6, 2)]
 
 
 def test_kept_plays_are_not_shuffled(spark, db, tmp_path):
