@@ -85,6 +85,17 @@ def test_previous_in_group_with_a_hot_group(spark):
     assert got == expected
 
 
+def test_previous_in_small_groups_takes_one_shuffle(spark):
+    df = spark.createDataFrame([("a", 2, "y"), ("a", None, "x"), (None, 4, "x"), ("a", 2, "x"), (None, 1, "x")], "g string, t int, f string")
+    got = previous_in_group(df, ["g"], ["t"], "t", "before")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(
+        [("a", None, "x", None), ("a", 2, "x", None), ("a", 2, "y", 2), (None, 1, "x", None), (None, 4, "x", 1)], key=str
+    )
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "Join" not in plan
+    assert previous_in_group(df.limit(0), ["g"], ["t"], "t", "before").collect() == []
+
+
 def test_previous_in_group_of_copies(spark):
     df = spark.createDataFrame([("g", 5)] * 300 + [("g", 4), ("h", 5)], "g string, t int").repartition(6)
     got = previous_in_group(df, ["g"], ["t"], "t", "before", block_rows=50).groupBy("g", "t", "before").count().collect()
