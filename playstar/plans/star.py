@@ -16,18 +16,21 @@ from playstar.functions.moments import clock_key, date_key, epoch_timestamp
 from playstar.operators.joins import left_join_in_blocks
 from playstar.operators.keys import arrival_keys, ranked_keys
 from playstar.schemas import PRIMARY_KEYS, natural_columns, table_schema
-from playstar.session import store, together
+from playstar.session import new_folder, store, together
 
 #: Songs of one title and artist that one block of the song lookup takes.
 SONG_BLOCK_ROWS = 100_000
 
+#: Facts that one task writes, about.
+FACTS_PER_TASK = 4_000_000
+
 # Takes a table name and its rows, writes them, and returns the written rows.
 Sink = Callable[[str, DataFrame], DataFrame]
 
 
 def parquet_sink(root: str) -> Sink:
     """Tables as Parquet folders below ``root``."""
-    return lambda table, df: store(df, f"{root}/{table}")
+    return lambda table, df: store(df, f"{root}/{table}", packed=table == "fact_songplay")
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
@@ -199,6 +202,63 @@ def songplay_rows_deduplicated(
     )
 
 
+# Plays before they multiply ---------------------------------------------------
+
+
+def one_artist_per_credit(dim_artist: DataFrame) -> DataFrame:
+    return (
+        dim_artist.where(F.col("artist_id").isNotNull())
+        .groupBy("artist_name", "artist_id")
+        .agg(F.min("artist_key").alias("artist_key"))
+    )
+
+
+def songplay_groups(
+    song_log: DataFrame, dim_user: DataFrame, dim_artist: DataFrame, dim_song: DataFrame
+) -> DataFrame:
+    """Distinct plays, one row for each artist id of their artist's name.
+
+    The lowest key stands for all rows of a user id, of an artist's name and id, and of a title of that id.
+    So the log is shuffled and made distinct before the dimensions multiply it: with songs that share a title, facts
+    grow with the product of log and catalogue, these rows with the log.
+    """
+    return songplay_rows(song_log, one_user_per_id(dim_user), one_artist_per_credit(dim_artist), one_song_per_title(dim_song))
+
+
+def spread_plays(groups: DataFrame, dim_user: DataFrame, dim_artist: DataFrame, dim_song: DataFrame) -> DataFrame:
+    """The plays of ``songplay_rows`` from written ``songplay_groups`` of the same dimensions.
+
+    Groups share no keys, so there is nothing to make distinct. Facts come out of the last join and are not moved
+    again. Plays of one song lie together, so that a table of them packs well.
+    """
+    spark = groups.sparkSession
+    user = _members(dim_user, one_user_per_id(dim_user), ["user_id"], "user_key")
+    artist = _members(dim_artist, one_artist_per_credit(dim_artist), ["artist_name", "artist_id"], "artist_key")
+    song = _members(dim_song, one_song_per_title(dim_song), ["song_title", "artist_id"], "song_key")
+
+    counted = groups.groupBy(F.col("artist_key").alias("_artist"), F.col("song_key").alias("_song")).agg(F.count(F.lit(1)).alias("_plays"))
+    credits = counted.join(artist, F.col("_artist") == F.col("_of_artist_key")).drop("_of_artist_key")
+    resolved = left_join_in_blocks(credits, song, {"_song": "_of_song_key"}, spread_by="song_key", block_rows=SONG_BLOCK_ROWS)
+    resolved = store(resolved.select("_artist", "_song", "_plays", "artist_key", "song_key"), new_folder(spark, "pairs"))
+    users = store(user, new_folder(spark, "users"))
+
+    # Twice as many for users with two rows; the number only has to be about right.
+    facts = resolved.agg(F.sum("_plays")).first()[0] or 0
+    order = ["artist_key", "song_key", "start_datetime", "session_id", "item_in_session"]
+    spread = groups.repartitionByRange(1 + facts // FACTS_PER_TASK, *order).sortWithinPartitions(*order)
+    by_user = spread.withColumnRenamed("user_key", "_user").join(users, F.col("_user") == F.col("_of_user_key"), "left")
+    same_pair = (F.col("_of_artist") == F.col("_artist")) & F.col("_of_song").eqNullSafe(F.col("_song"))
+    renamed = by_user.withColumnsRenamed({"artist_key": "_of_artist", "song_key": "_of_song"})
+    return renamed.join(resolved, same_pair).select(natural_columns("fact_songplay"))
+
+
+def _members(dimension: DataFrame, ones: DataFrame, names: list[str], key: str) -> DataFrame:
+    """All keys of a dimension next to the key that stands for them."""
+    one = ones.select(*[F.col(name).alias(f"_{name}") for name in names], F.col(key).alias(f"_of_{key}"))
+    same = [F.col(name) == F.col(f"_{name}") for name in names]
+    return dimension.select(*names, key).join(one, same).select(f"_of_{key}", key)
+
+
 # All of it -----------------------------------------------------------------
 
 
@@ -213,6 +273,7 @@ def build_star(song_log: DataFrame, song_data: DataFrame, sink: Sink) -> dict[st
         return artists, sink("dim_song", keyed_dimension(song_rows(song_data, artists), "dim_song"))
 
     (users,), (artists, songs) = together(write_users, write_catalogue)
-    plays = arrival_keys(songplay_rows(song_log, users, artists, songs), "songplay_key")
+    groups = store(songplay_groups(song_log, users, artists, songs), new_folder(song_log.sparkSession, "plays"))
+    plays = arrival_keys(spread_plays(groups, users, artists, songs), "songplay_key")
     fact = sink("fact_songplay", conform(plays, "fact_songplay"))
     return {"dim_user": users, "dim_artist": artists, "dim_song": songs, "fact_songplay": fact}

@@ -42,6 +42,9 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+#: How tables with many rows for each play are written: rows of a play lie together and repeat each other, or differ by one.
+PACKED = {"compression": "zstd", "parquet.writer.version": "v2", "parquet.page.row.count.limit": "1000000"}
+
 _local_folders: dict[str, str] = {}
 
 
@@ -92,13 +95,13 @@ def child_folders(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in found if status.isDirectory()]
 
 
-def store(df: DataFrame, path: str) -> DataFrame:
+def store(df: DataFrame, path: str, packed: bool = False) -> DataFrame:
     """Write ``df`` as Parquet and return a frame that reads it back.
 
     This cuts the lineage: a lost executor costs a re-read and never another
     run of what is above, so values fixed by the write (keys) stay fixed.
     """
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").options(**(PACKED if packed else {})).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

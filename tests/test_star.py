@@ -153,3 +153,36 @@ def test_load_timing_equals_consecutive_gaps(spark):
     assert got == {1: (3, 40 / 3), 3: (1, None)}
     assert tuple(analytics.load_timing_of(ledger, 1).first()) == (3, 40 / 3)
     assert tuple(analytics.load_timing_of(ledger, 77).first()) == (0, None)
+
+
+def test_facts_stay_where_they_are_made(spark, tmp_path):
+    """A title of 200 songs multiplies plays after the last shuffle and DISTINCT, and the table of them packs well."""
+    same = ["'F' AS firstName", "'L' AS lastName", "'M' AS gender", "'Logged In' AS auth", "'PUT' AS method", "'Oslo' AS location", "200 AS status"]
+    log = spark.range(300).selectExpr(
+        "id AS song_log_id", "'x' AS artist", "CASE WHEN id % 3 < 2 THEN 't' WHEN id % 2 = 0 THEN 'no such' END AS song",
+        "cast(id % 7 AS int) AS userId", "CASE WHEN id % 2 = 0 THEN 'paid' ELSE 'free' END AS level", "id div 6 * 1000 AS ts",
+        "7 AS sessionId", "1 AS itemInSession", "'NextSong' AS page", "'a' AS userAgent", "5L AS registration", *same,
+    )
+    log = log.union(log)
+    songs = spark.range(200).selectExpr(
+        "'x' AS artist_name", "concat('A', id % 2) AS artist_id", "CASE WHEN id % 4 < 2 THEN 'Perth' END AS artist_location", "1.5D AS artist_latitude",
+        "2.5D AS artist_longitude", "cast(id AS string) AS song_id", "'t' AS title", "1999 AS year", "1D AS duration",
+    )
+    plans, sink = {}, star.parquet_sink(str(tmp_path / "tables"))
+
+    def noted(table, rows):
+        plans[table] = rows._jdf.queryExecution().executedPlan().toString()
+        return sink(table, rows)
+
+    tables = star.build_star(log, songs, noted)
+    above = plans["fact_songplay"][: plans["fact_songplay"].index("Join")]
+    assert "Exchange" not in above and "Aggregate" not in above
+    columns = natural_columns("fact_songplay")
+    fact = tables["fact_songplay"].select(columns)
+    derived = star.songplay_rows(log, tables["dim_user"], tables["dim_artist"], tables["dim_song"])
+    assert fact.exceptAll(derived).isEmpty() and derived.exceptAll(fact).isEmpty()
+    assert fact.count() > 200 * 200
+    files = [path for path in (tmp_path / "tables" / "fact_songplay").iterdir() if path.suffix == ".parquet"]
+    assert sum(path.stat().st_size for path in files) < fact.count()
+    keys = tables["fact_songplay"].select("songplay_key")
+    assert keys.distinct().count() == keys.count()
