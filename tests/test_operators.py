@@ -6,7 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from playstar.operators.joins import left_join_in_blocks
+from playstar.operators.joins import left_join_in_blocks, left_join_in_ranges
 from playstar.operators.keys import arrival_keys, extend_dimension, next_key, ranked_keys
 from playstar.operators.quality import fk_orphans, null_profile, pk_duplicates, table_counts
 from playstar.operators.sets import difference, head
@@ -165,3 +165,15 @@ def test_left_join_in_blocks_equals_a_plain_one(spark, left, right):
         found = [(x, n, *row) for row in right if x is not None and row[:2] == (x, n)]
         want += found or [(x, n, None, None, None)]
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+
+
+def test_a_dimension_in_ranges_moves_no_row_of_the_left_side(spark):
+    left = spark.range(60).selectExpr("id AS row", "CASE WHEN id % 5 > 0 THEN id % 30 - 3 END AS key").union(spark.range(2).selectExpr("id", "7L"))
+    right = spark.range(1, 21).selectExpr("id AS key", "concat('n', id) AS name")
+    plain = sorted(map(str, left.join(right, "key", "left").collect()))
+    for rows in (1, 6, 20, 100):
+        joined = left_join_in_ranges(left, right, "key", rows)
+        assert "Exchange hashpartitioning" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(str, joined.collect())) == plain
+    none = left_join_in_ranges(left, right.limit(0), "key", 6)
+    assert none.columns == ["key", "row", "name"] and none.where("name is not null").isEmpty() and none.count() == 62
