@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import string
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,9 +28,10 @@ class WordIds(dict):
     """Ids of words, as bytes of little-endian 32-bit integers.
 
     Works for a BPE file of the tokenizers library that splits text at white space and
-    drops it: words are then independent. The library normalizes and merges;
-    what is kept are the ids of words seen before. Added tokens of the file are found in the raw text
-    first, the longest of those at the leftmost place, and what is between them is encoded by itself, as the library does.
+    drops it: words are then independent. The library normalizes and merges, save that Latin words are lower-cased here;
+    what is kept are the ids of words seen before; words in other cases or with signs after them share the ids of their letters. Added
+    tokens of the file are found in the raw text first, the longest of those at the leftmost place, and what is between them is encoded
+    by itself, as the library does.
     """
 
     def __init__(self, path: str):
@@ -44,6 +46,8 @@ class WordIds(dict):
         self.normalize = self.tokenizer.normalizer.normalize_str
         self.pre_tokenize = self.tokenizer.pre_tokenizer.pre_tokenize_str
         self.model = self.tokenizer.model
+        self.as_bytes = [i.to_bytes(4, "little") for i in range(1 + max(self.tokenizer.get_vocab().values()))]
+        #: Ids of the signs that end words.
         self.simple: dict[str, bytes] = {}
         added = self.tokenizer.get_added_tokens_decoder()
         self.added = {token.content: np.array([i], "<u4").tobytes() for i, token in added.items()}
@@ -51,24 +55,29 @@ class WordIds(dict):
         # Tokens that take the space beside them, stand as words or are sought in normalized text are left to the library.
         self.by_library = any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added.values())
 
-    def merged(self, part: str) -> bytes:
+    def tokens(self, spelled: str) -> bytes:
+        as_bytes = self.as_bytes
+        return b"".join([as_bytes[t.id] for t in self.model.tokenize(spelled)])
+
+    def signs(self, part: str) -> bytes:
         found = self.simple.get(part)
         if found is None:
-            spelled = part if part.isascii() else part.encode().decode("latin-1").translate(self.spelled)
-            found = np.array([t.id for t in self.model.tokenize(spelled)], "<u4").tobytes()
+            found = self.tokens(part)
             if len(part) <= WORD_CHARS:
                 self.simple[part] = found
         return found
 
     def __missing__(self, word: str) -> bytes:
-        plain = word.lower() if word.isascii() else self.normalize(word)
-        if plain.isalpha() and max(plain) < LATIN_END:
-            ids = self.merged(plain)
-        elif plain[:-1].isalpha() and plain[-1] in ".," and max(plain) < LATIN_END:
-            ids = self.merged(plain[:-1]) + self.merged(plain[-1])
+        # What lies below LATIN_END is in normal form C, and lower-cased by Python as by the library.
+        near = word.isascii() or max(word) < LATIN_END
+        plain = word.lower() if near else self.normalize(word)
+        letters = plain if plain.isalpha() else plain.rstrip(string.punctuation)
+        if not letters.isalpha() or not (letters.isascii() or max(letters) < LATIN_END):
+            ids = b"".join([self.tokens(part) for part, _ in self.pre_tokenize(plain)])
+        elif letters != word:
+            ids = self[letters] + self.signs(plain[len(letters) :]) if len(letters) < len(plain) else self[letters]
         else:
-            spelled = (part for part, _ in self.pre_tokenize(plain))
-            ids = np.array([t.id for part in spelled for t in self.model.tokenize(part)], "<u4").tobytes()
+            ids = self.tokens(word if word.isascii() else word.encode().decode("latin-1").translate(self.spelled))
         if len(word) <= WORD_CHARS:
             self[word] = ids
         return ids

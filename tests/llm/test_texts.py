@@ -226,3 +226,24 @@ def test_long_words_are_not_remembered():
         for text in texts:
             encode(text)
         assert max(map(len, memory), default=0) <= 64
+
+
+def test_latin_words_are_the_librarys_and_share_their_letters(monkeypatch):
+    path = vocabulary("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    near = [chr(i) for i in range(1, 0x250) if chr(i) not in " \n"]
+    draw = random.Random(7)
+    found = ["".join(draw.choices(near, k=draw.randint(1, 6))) + draw.choice(["", ".", "'", "'.", "***", "_", "''s"]) for _ in range(4000)]
+    words = packing.WordIds(path)
+    for word in [*near, *(f"x{c}Y" for c in near), *found]:
+        assert np.frombuffer(words.of(word), "<u4").tolist() == library.encode(word, add_special_tokens=False).ids, word
+
+    def refused(*_):
+        raise AssertionError("Latin letters and signs after them need neither the library's normalizer nor its pattern")
+
+    words = packing.WordIds(path)
+    monkeypatch.setattr(words, "normalize", refused)
+    monkeypatch.setattr(words, "pre_tokenize", refused)
+    given = "Œuvre œuvre. ŒUVRE*** œuvre'' tionra%%%"
+    assert np.frombuffer(words.of(given), "<u4").tolist() == library.encode(given, add_special_tokens=False).ids
+    assert {"œuvre", "tionra"} <= set(words) and set(words.simple) == {".", "***", "''", "%%%"}
