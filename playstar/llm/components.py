@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playstar.session import new_folder, store
+from playstar.session import in_few_files, new_folder, store
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -13,11 +13,12 @@ def _mark(edges: DataFrame) -> tuple:
     return row["n"], row["mark"]
 
 
-def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
+def connected_components(links: DataFrame, a: str, b: str, about: int | None = None) -> DataFrame:
     """Every linked id with the smallest id that it reaches: ``node``, ``component``.
 
     ``links`` holds two long columns; their order, repeats, nulls and loops do not
-    matter. Ids without a link to another id are not in the result.
+    matter. Ids without a link to another id are not in the result. ``about`` how many links there are, where that is known,
+    decides in how many files they are first written.
 
     Each round connects larger neighbours to the smallest one (large star), then
     smaller ones to their smallest (small star), until all edges point at roots:
@@ -26,12 +27,8 @@ def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
     round ends in a table in the shared folder; the driver sees a count and a checksum.
     """
     spark = links.sparkSession
-    edges = store(
-        links.where(F.col(a) != F.col(b))
-        .select(F.greatest(a, b).cast("long").alias("u"), F.least(a, b).cast("long").alias("v"))
-        .distinct(),
-        new_folder(spark, "links"),
-    )
+    first = links.where(F.col(a) != F.col(b)).select(F.greatest(a, b).cast("long").alias("u"), F.least(a, b).cast("long").alias("v")).distinct()
+    edges = store(first if about is None else in_few_files(first, about), new_folder(spark, "links"))
     before = _mark(edges)
     while before[0]:
         ends = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -41,7 +38,7 @@ def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
         small = large.join(small_low, "u").select(
             F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("low").alias("v")), F.struct("u", F.col("low").alias("v")))).alias("e")
         )
-        edges = store(small.select("e.*").where("u <> v").distinct(), new_folder(spark, "links"))
+        edges = store(in_few_files(small.select("e.*").where("u <> v").distinct(), before[0]), new_folder(spark, "links"))
         now = _mark(edges)
         if now == before:
             break

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from playstar.llm.common import bounded_cells, by_group, session_of, slices, spanning_edges
 from playstar.llm.components import connected_components
-from playstar.session import new_folder, store
+from playstar.session import in_few_files, new_folder, store
 
 SEED = 42
 #: Shingles of a text that are hashed at a time.
@@ -161,8 +161,9 @@ def near_duplicates(
     """
     spark = session_of(docs)
     prints = store(fingerprints(docs, shingle, doc_id, text), new_folder(spark, "prints"))
+    rows_given = prints.count()
     classes = store(
-        prints.where("doc_id is not null").groupBy("fingerprint").agg(F.min("doc_id").alias("member")),
+        in_few_files(prints.where("doc_id is not null").groupBy("fingerprint").agg(F.min("doc_id").alias("member")), rows_given),
         new_folder(spark, "classes"),
     )
     # An id may be the smallest of several fingerprints; then it joins them by itself.
@@ -178,7 +179,7 @@ def near_duplicates(
         .join(classes, "fingerprint")
         .select(F.col("doc_id").alias("u"), F.col("member").alias("v"))
     )
-    components = connected_components(links.union(own), "u", "v")
+    components = connected_components(links.union(own), "u", "v", about=rows_given)
     found = classes.join(components, F.col("member") == F.col("node"), "left").select(
         "fingerprint", F.coalesce("component", "member").alias("class_component")
     )

@@ -14,11 +14,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playstar.llm.common import session_of
-from playstar.session import new_folder, store
+from playstar.session import in_few_files, new_folder, store
 
 #: Bounds of the training sample: documents (on average, as their ids' hashes decide) and characters in all. Scoring has no bound.
 SAMPLE_DOCS = 4000
 SAMPLE_CHARS = 40_000_000
+#: Files at most in which the sample is written.
+SAMPLE_FILES = 16
 #: Clean documents are learned from in pieces of about so many characters: every sentence of them is clean.
 PIECE_CHARS = 10_000
 #: A word or beginning needs so many documents of the sample to have a weight.
@@ -171,7 +173,8 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     """
     given = labels.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(label).cast("int").alias("toxic"))
     given = given.where("doc_id is not null and toxic in (0, 1)").where(~held_out(F.col("doc_id")))
-    by_id = store(given.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), new_folder(docs.sparkSession, "labelled"))
+    by_id = in_few_files(given.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), labels.count())
+    by_id = store(by_id, new_folder(docs.sparkSession, "labelled"))
     drawn = by_id.where(_below(SAMPLE_DOCS / max(1, by_id.count()), "doc_id"))
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).where("text is not null")
     rows = texts.join(F.broadcast(drawn), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
@@ -182,7 +185,7 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 
     session_of(docs)
     bags = rows.select("doc_id", "toxic", F.posexplode(cut("text", "toxic")).alias("number", "text"))
-    bags = store(bags, new_folder(docs.sparkSession, "bags"))
+    bags = store(bags.coalesce(SAMPLE_FILES), new_folder(docs.sparkSession, "bags"))
     chars = bags.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     sample = bags.where(_below(SAMPLE_CHARS / max(1, chars), "doc_id", "number")).collect()
     sample.sort(key=lambda r: (r["doc_id"], r["number"]))

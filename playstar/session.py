@@ -97,6 +97,19 @@ def child_folders(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in found if status.isDirectory()]
 
 
+#: Rows of small values, like ids and hashes, that make a file worth writing.
+ROWS_A_FILE = 100_000
+
+
+def in_few_files(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, of about ``rows`` rows of small values, in no more partitions than these need.
+
+    Every file that a task writes has its price, on a local folder several processes that the executor starts to set its
+    permissions. What is above the last shuffle of ``df`` keeps its partitions.
+    """
+    return df.coalesce(max(1, -(-rows // ROWS_A_FILE)))
+
+
 def store(df: DataFrame, path: str, packed: bool = False) -> DataFrame:
     """Write ``df`` as Parquet and return a frame that reads it back.
 

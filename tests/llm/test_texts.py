@@ -247,3 +247,36 @@ def test_latin_words_are_the_librarys_and_share_their_letters(monkeypatch):
     given = "Œuvre œuvre. ŒUVRE*** œuvre'' tionra%%%"
     assert np.frombuffer(words.of(given), "<u4").tolist() == library.encode(given, add_special_tokens=False).ids
     assert {"œuvre", "tionra"} <= set(words) and set(words.simple) == {".", "***", "''", "%%%"}
+
+
+def test_small_tables_are_written_in_few_files(spark, monkeypatch):
+    """However many partitions a shuffle has: fingerprints' classes, links and the toxic sample are small."""
+    from playstar.llm import components, toxicity
+    from playstar.session import file_names, store
+
+    files = {}
+
+    def stored(df, path, packed=False):
+        out = store(df, path, packed)
+        label = path.rpartition("/")[2].rpartition("-")[0]
+        files.setdefault(label, []).append(sum(name.endswith(".parquet") for name in file_names(spark, path)))
+        return out
+
+    for module in (simhash, components, toxicity):
+        monkeypatch.setattr(module, "store", stored)
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in held}
+    rows = [(i, f"text {i // 2} has words number {i // 2 * 7} and {i // 2 * 13} of its own") for i in range(400)]
+    try:
+        for key, value in held.items():
+            spark.conf.set(key, value)
+        docs = documents(spark, rows)
+        found = {r.doc_id: r for r in simhash.near_duplicates(docs).collect()}
+        toxicity.train(docs, spark.createDataFrame([(i, i % 5 == 0) for i, _ in rows], "doc_id long, toxic boolean"))
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    prints = {i: r.fingerprint for i, r in found.items()}
+    linked = [(a, b) for a in prints for b in range(a) if (int(prints[a], 16) ^ int(prints[b], 16)).bit_count() <= 2]
+    assert {i: r.component_id for i, r in found.items()} == smallest_reachable(prints, linked)
+    assert set(files["classes"]) == set(files["links"]) == set(files["labelled"]) == {1} and max(files["bags"]) <= toxicity.SAMPLE_FILES
