@@ -4,10 +4,12 @@ import uuid
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from playstar.__main__ import main
 from playstar.operators import quality
 from playstar.plans import analytics, growing, lifecycle
+from playstar.plans.folded import MEMBERS, PLAYS, Facts
 from playstar.plans.growing import AnotherRun, GrowingDatabase, kept_plays, those_of
 from playstar.plans.incremental import IncrementalStaging
 from playstar.plans.running import FACT, RUNNING, STATES, orphans_after, references, repeated_after
@@ -339,3 +341,40 @@ def test_repeated_keys_are_looked_for_in_words(spark, monkeypatch):
     assert sorted(r[0] for r in running._suspicious(keys, -200).collect()) == [64]
     assert sorted(r[0] for r in running._suspicious(keys, -198).collect()) == [-200, -199, 64]
     assert written[0].count() == 1
+
+
+def test_facts_are_stored_as_plays(spark, db, tmp_path):
+    """What is written grows with plays and songs, not with their product; all facts are there when they are read."""
+    arriving = Arriving(spark, tmp_path)
+    grown = GrowingDatabase(spark, db, arriving.staging)
+    many = [{**SONGS[0], "song_id": f"SO{i}"} for i in range(40)]
+    log = [play(artist=ARTISTS[0][0], song=ARTISTS[0][1], itemInSession=i, userId="1", level=("free", "paid")[i % 2], ts=MONTHS[0] + 1000 * i) for i in range(10)]
+    arriving.take([*log, play(artist=ARTISTS[0][0], song="no such", userId="2", itemInSession=70)], many)
+    grown.grow()
+    written = {name: spark.read.parquet(f"{grown.home}/batches/1/{name}").count() for name in ("added", "fact_users", "fact_pairs")}
+    assert written == {"added": 11, "fact_users": 3, "fact_pairs": 41}
+    fact = spark.table(f"{db}.fact_songplay")
+    assert fact.count() == fact.select("songplay_key").distinct().count() == 10 * 2 * 40 + 1
+    assert sorted(map(str, fact.collect())) == sorted(map(str, grown.table("fact_songplay").collect()))
+    found, whole = carried(grown, lifecycle.tables_of(spark, db))
+    assert found == whole
+
+
+def test_facts_are_counted_from_plays(spark):
+    folded_plays, users, pairs = some_facts(spark, [(1, 1, 2, 1, 3), (11, 1, 2, 4, 1), (21, 3, 1, 1, 3)])
+    facts = Facts(folded_plays, users, pairs)
+    rows = facts.rows()
+    assert rows.count() == 6 + 2 + 3
+    for columns in (["start_date_key"], ["user_key"], ["artist_key", "song_key"], ["start_date_key", "song_key"], ["user_key", "artist_key"]):
+        plain = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("plays"))
+        assert sorted(map(str, facts.counted(columns).collect())) == sorted(map(str, plain.collect()))
+
+
+def some_facts(spark, listed):
+    """Plays under (key, user_group, users, pair_group, pairs); users 1 and 2 are one, songs 1 to 3 share a title, the fourth pair has no song."""
+    rows = [(key, 20181115 + i, u, n, p, m) for i, (key, u, n, p, m) in enumerate(listed)]
+    short = spark.createDataFrame(rows, "songplay_key long, start_date_key int, user_group long, users long, pair_group long, pairs long")
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in StructType.fromDDL(PLAYS) if f.name not in short.columns]
+    users = spark.createDataFrame([(1, 2, 1, 1, 1), (1, 2, 2, 1, 2), (3, 1, 3, 3, 3)], MEMBERS["fact_users"])
+    pairs = [(1, 3, 1, 7, 1, 7, 1), (1, 3, 2, 7, 1, 7, 2), (1, 3, 3, 7, 1, 8, 3), (4, 1, 4, 8, None, 8, None)]
+    return short.select("*", *nulls), users, spark.createDataFrame(pairs, MEMBERS["fact_pairs"])
