@@ -8,11 +8,11 @@ from pyspark.sql.types import StructType
 
 from playstar.__main__ import main
 from playstar.operators import quality
-from playstar.plans import analytics, growing, lifecycle
+from playstar.plans import analytics, folded, growing, lifecycle
 from playstar.plans.folded import MEMBERS, PLAYS, Facts
 from playstar.plans.growing import AnotherRun, GrowingDatabase, kept_plays, those_of
 from playstar.plans.incremental import IncrementalStaging
-from playstar.plans.running import FACT, RUNNING, STATES, orphans_after, references, repeated_after
+from playstar.plans.running import FACT, RUNNING, STATES, orphans_after, references, repeated_after, repeated_facts_after
 from playstar.schemas import LOG_MAPPING, SONG_MAPPING, natural_columns
 from tests.samples import SONGS, play, write_lines
 
@@ -378,3 +378,23 @@ def some_facts(spark, listed):
     users = spark.createDataFrame([(1, 2, 1, 1, 1), (1, 2, 2, 1, 2), (3, 1, 3, 3, 3)], MEMBERS["fact_users"])
     pairs = [(1, 3, 1, 7, 1, 7, 1), (1, 3, 2, 7, 1, 7, 2), (1, 3, 3, 7, 1, 8, 3), (4, 1, 4, 8, None, 8, None)]
     return short.select("*", *nulls), users, spark.createDataFrame(pairs, MEMBERS["fact_pairs"])
+
+
+def test_repeated_facts_are_found_from_ranges(spark, monkeypatch):
+    """The state is that of ``repeated_after`` over single facts, which are not made."""
+    none = spark.createDataFrame([], STATES["repeated_keys"])
+    # Keys 1 to 6 and 5 to 6, 100 to 102, 2000 to 2005 and 2003: repeated are 5, 6 and 2003.
+    facts = Facts(*some_facts(spark, [(1, 1, 2, 1, 3), (5, 1, 2, 4, 1), (100, 3, 1, 1, 3), (2000, 1, 2, 1, 3), (2003, 3, 1, 4, 1)]))
+    rows = facts.rows().select("songplay_key")
+    later = Facts(facts.plays.where("songplay_key >= 2000"), facts.users, facts.pairs)
+    later_rows = later.rows().select("songplay_key")
+    for width in (1, 1024):
+        monkeypatch.setattr(folded, "RANGES", width)
+        for first, fresh, own in ((1, facts, rows), (3, facts, rows), (2000, later, later_rows), (2001, later, later_rows)):
+            found = repeated_facts_after(none, fresh, first, facts)
+            plain = repeated_after(none, {FACT: own}, {FACT: first}, {FACT: rows})
+            assert sorted(map(tuple, found.collect())) == sorted(map(tuple, plain.collect()))
+    # A key that was repeated and is not any more leaves the state; one that still is stays, without new facts.
+    before = spark.createDataFrame([(FACT, 5, 2), (FACT, 100, 2), (FACT, 7, 3)], STATES["repeated_keys"])
+    nothing = Facts(facts.plays.limit(0), facts.users, facts.pairs)
+    assert list(map(tuple, repeated_facts_after(before, nothing, 3000, facts).collect())) == [(FACT, 5, 2)]
