@@ -6,14 +6,16 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from playstar import registry
 from playstar.__main__ import main
-from playstar.operators import quality
+from playstar.operators import joins, quality
 from playstar.plans import analytics, folded, growing, lifecycle
 from playstar.plans.folded import MEMBERS, PLAYS, Facts
 from playstar.plans.growing import AnotherRun, GrowingDatabase, kept_plays, those_of
 from playstar.plans.incremental import IncrementalStaging
 from playstar.plans.running import FACT, RUNNING, STATES, orphans_after, references, repeated_after, repeated_facts_after
 from playstar.schemas import LOG_MAPPING, SONG_MAPPING, natural_columns
+from tests.conftest import SMALL
 from tests.samples import SONGS, play, write_lines
 
 MONTHS = (1542241826796, 1544833826796, 1547512226796)
@@ -398,3 +400,15 @@ def test_repeated_facts_are_found_from_ranges(spark, monkeypatch):
     before = spark.createDataFrame([(FACT, 5, 2), (FACT, 100, 2), (FACT, 7, 3)], STATES["repeated_keys"])
     nothing = Facts(facts.plays.limit(0), facts.users, facts.pairs)
     assert list(map(tuple, repeated_facts_after(before, nothing, 3000, facts).collect())) == [(FACT, 5, 2)]
+
+
+def test_incremental_star_makes_its_facts_once(spark, monkeypatch):
+    """Dimensions of many ranges go to what multiplies the plays: the only rows of facts that are written are the result's."""
+    written = []
+    write = joins.store
+    monkeypatch.setattr(joins, "RANGE_ROWS", 20)
+    monkeypatch.setattr(joins, "store", lambda df, path, packed=False: written.append(write(df, path, packed)) or written[-1])
+    found = registry.QUERIES["incremental_star"](spark, SMALL)
+    assert len(written) > 2 and sum(part.count() for part in written) < found.count()
+    # A join by ranges keeps every row it is given: users and pairs.
+    assert all("user_agent" not in part.columns for part in written)
